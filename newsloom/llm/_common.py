@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: The six separators of a word: space, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
 #: Rows in one Arrow batch; documents are large, so the default of 10,000 rows would be.
@@ -17,7 +19,8 @@ BROADCAST_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of Python stages."""
+    """Bounds the Arrow batches of Python stages and ships the package to their workers."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

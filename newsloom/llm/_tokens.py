@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 #: Distinct units a worker remembers in each of two generations.
-CACHE_UNITS = 250_000
+CACHE_UNITS = 200_000
 #: Longer units are encoded but not remembered.
 CACHE_CHARS = 64
 
@@ -38,40 +38,48 @@ class UnitEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        vocabulary = self._tokenizer.get_vocab()
+        #: Of each id, whether its token begins with the space or line feed that begins a unit.
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._begins[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _units(self, units: list[str]) -> list[bytes] | None:
+        """The ids of each unit, by one library call on the chain of them; None if their bounds can't be told."""
+        ids = self._library("".join([u if u[0] == "\n" else " " + u for u in units]))
+        starts = np.flatnonzero(self._begins[ids])
+        if len(starts) != len(units):
+            return None
+        raw, bounds = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [raw[b:e] for b, e in zip(bounds, bounds[1:])]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         first, *rest = text.replace("\n", " \n").split(" ")
-        kinds = set(rest)
-        if "" in kinds or "\n" in kinds or _ODD_SPACE.search(first):
-            return self._library([text])[0]
-        young, long = self._young, {}
-        if new := kinds.difference(young):
-            old = self._old
+        found = list(map(self._young.get, rest))
+        if None in found:
+            young, old = self._young, self._old
             unseen = []
-            for unit in new:
+            for unit in {u for u, ids in zip(rest, found) if ids is None}:
                 if (ids := old.get(unit)) is not None:
                     young[unit] = ids
                 else:
                     unseen.append(unit)
+            long = {}
             if unseen:
-                if any(map(_ODD_SPACE.search, unseen)):
-                    return self._library([text])[0]
-                for unit, ids in zip(unseen, self._library([u if u[0] == "\n" else " " + u for u in unseen])):
-                    if len(unit) <= CACHE_CHARS:
-                        young[unit] = ids
-                    else:
-                        long[unit] = ids
-        head = self._library([first])[0] if first else b""
-        body = b"".join([long[u] if u in long else young[u] for u in rest]) if long else b"".join(map(young.__getitem__, rest))
-        if len(young) > CACHE_UNITS:
-            self._old, self._young = young, {}
-        return head + body
+                if "" in unseen or "\n" in unseen or any(map(_ODD_SPACE.search, unseen)) or (encoded := self._units(unseen)) is None:
+                    return self._library(text).tobytes()
+                for unit, ids in zip(unseen, encoded):
+                    (young if len(unit) <= CACHE_CHARS else long)[unit] = ids
+            found = [young[u] if ids is None and u in young else long[u] if ids is None else ids for u, ids in zip(rest, found)]
+            if len(young) > CACHE_UNITS:
+                self._old, self._young = young, {}
+        if _ODD_SPACE.search(first):
+            return self._library(text).tobytes()
+        return (self._library(first).tobytes() if first else b"") + b"".join(found)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .packing import op7_best_fit_packing
+from .sharding import op5_shard_tree
 from .token_output import op1_token_files
 
 
 def queries() -> dict:
     return {
         "op1_token_files": op1_token_files,
+        "op5_shard_tree": op5_shard_tree,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op9_exact_dedup": op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_dedup": OP9_SQL}

@@ -159,7 +159,7 @@ def _write_pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int
             total += len(got) // 4
             waiting.append(got)
             held += len(got)
-            if held >= 4 << 20:
+            if held >= 1 << 20:
                 yield from flush(False)
     if at:
         yield from flush(True)
