@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 #: Distinct units a worker remembers in each of two generations.
-CACHE_UNITS = 200_000
+CACHE_UNITS = 400_000
 #: Longer units are encoded but not remembered.
 CACHE_CHARS = 64
 

@@ -32,7 +32,7 @@ from ._tokens import encoder
 MAGIC, VERSION = b"NLPF", 1
 BLOCK = 1024
 PERCENTILE = 90
-FILE_INPUT_BYTES = 24 << 20
+FILE_INPUT_BYTES = 16 << 20
 END_ID = 2
 
 
