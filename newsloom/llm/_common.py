@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -85,6 +86,12 @@ class Staged:
         delete(self.spark, self.path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark clear the shuffle files of finished queries now, not when the driver next happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Bytes of the files that df scans, by Catalyst's statistics; no job runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -5,19 +5,23 @@ from __future__ import annotations
 from .bpe import op6_bpe_codec
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .fingerprints import op8_order_minhash
+from .jaccard_join import op3_jaccard_join
 from .packing import op7_best_fit_packing
 from .sharding import op5_shard_tree
+from .substrings import op10_substring_dedup
 from .token_output import op1_token_files
 
 
 def queries() -> dict:
     return {
         "op1_token_files": op1_token_files,
+        "op3_jaccard_join": op3_jaccard_join,
         "op5_shard_tree": op5_shard_tree,
         "op6_bpe_codec": op6_bpe_codec,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_order_minhash": op8_order_minhash,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
