@@ -6,7 +6,9 @@ from .bpe import op6_bpe_codec
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .fingerprints import op8_order_minhash
 from .jaccard_join import op3_jaccard_join
+from .language import op4_language_crf
 from .packing import op7_best_fit_packing
+from .quality import op2_quality_nbsvm
 from .sharding import op5_shard_tree
 from .substrings import op10_substring_dedup
 from .token_output import op1_token_files
@@ -15,7 +17,9 @@ from .token_output import op1_token_files
 def queries() -> dict:
     return {
         "op1_token_files": op1_token_files,
+        "op2_quality_nbsvm": op2_quality_nbsvm,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_language_crf": op4_language_crf,
         "op5_shard_tree": op5_shard_tree,
         "op6_bpe_codec": op6_bpe_codec,
         "op7_best_fit_packing": op7_best_fit_packing,

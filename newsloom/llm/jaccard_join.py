@@ -270,5 +270,12 @@ def _near_classes(rows: DataFrame) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id leads its class. Rows that share an id stay if one of them leads; a null id stays."""
+    leads = near_classes(docs, id_col, text_col).groupBy("doc_id").agg(F.max(F.col("class_id") == F.col("doc_id")).alias("leads"))
+    gone = Staged(leads.where("NOT leads").select(F.col("doc_id").alias("_gone")), "near-copies")
+    return docs.join(gone.side(), F.col(id_col) == F.col("_gone"), "left_anti")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(documents(spark, sf_dir))

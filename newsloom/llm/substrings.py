@@ -20,11 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import Staged, documents, prepare, release
 from ._rows import unique_rows
+from .sharding import slots
 from ._words import chunks, grams, mix, raw, spans, word_hashes
 
 WINDOW, K = 20, 6
@@ -194,6 +196,38 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 _CUT = "doc_id long, n_words long, n_removed long, kept string"
 
 
+def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows of docs without the words that cut_repeats removes, and without texts that lose all their words.
+
+    A text that loses words becomes the rest joined by one space, and its length column follows; others stay as they
+    are.
+    """
+    prepare(docs.sparkSession)
+    n, distinct = docs.agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
+    rows = docs.withColumn("_n", F.col(id_col).cast("long"))
+    if n != distinct:
+        rows = Staged(slots(docs.withColumn("_all", F.lit(0)), "_all", [id_col, text_col], "_n").drop("_all"), "numbered").df
+    key = rows.select(F.col("_n").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    ranges = repeated_ranges(key).select(F.col("doc_id").alias("_n"), F.col("ranges").alias("_ranges"))
+    joined = rows.join(ranges, "_n", "left").select(F.col("_n"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col("_ranges"), *docs.columns)
+    names = docs.columns
+    text_at, length_at = docs.columns.index(text_col), docs.columns.index(length_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            done = next(_cut(iter([batch])))
+            gone = np.asarray(done.column(2))
+            cut = pa.array(gone > 0)
+            columns = batch.columns[3:]
+            columns[text_at] = pc.if_else(cut, done.column(3).cast(columns[text_at].type), columns[text_at])
+            columns[length_at] = pc.if_else(cut, pc.utf8_length(done.column(3)).cast(columns[length_at].type), columns[length_at])
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array((gone == 0) | (gone < np.asarray(done.column(1)))))
+
+    schema = docs.schema
+
+    return joined.mapInArrow(run, schema)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cut_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
