@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def ship(spark: SparkSession) -> None:
@@ -24,3 +25,13 @@ def ship(spark: SparkSession) -> None:
                     out.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(target)
     sc._newsloom_shipped = True
+
+
+def arrow_udf(fn, kind: str):
+    """A vectorised UDF that is made when it is first called: a worker that imports the module has no session."""
+
+    def call(*columns):
+        ship(SparkSession.active())
+        return F.pandas_udf(fn, kind)(*columns)
+
+    return call
