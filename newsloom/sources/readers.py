@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.dates import micros, parse_date
 from ..functions.text import strip_related_blocks, text
 from ..functions.urls import domain, looks_like_section
 
-ARTICLE = T.StructType.fromDDL("source string, source_label string, language string, title string, summary string, url string, body string, date timestamp")
-ARCHIVE = T.StructType.fromDDL("key string, url string, title string, summary string, source string, source_label string, language string, date string, premiere_vue string, body string")
-SOURCE = T.StructType.fromDDL("name string, short_name string, profile string, label string, type string, language string, url string, feeds array<string>, fallbacks array<string>, max_articles int")
-STATE = T.StructType.fromDDL("dernier_scan string, vus_avant map<string,string>")
-MEMORY = T.StructType.fromDDL(
+ARTICLE = "source string, source_label string, language string, title string, summary string, url string, body string, date timestamp"
+ARCHIVE = "key string, url string, title string, summary string, source string, source_label string, language string, date string, premiere_vue string, body string"
+SOURCE = "name string, short_name string, profile string, label string, type string, language string, url string, feeds array<string>, fallbacks array<string>, max_articles int"
+STATE = "dernier_scan string, vus_avant map<string,string>"
+MEMORY = (
     "seen_article_keys array<string>, last_collected_size int, body_cache map<string,struct<body:string,date:string,fetched_at:string>>, "
     "sources map<string,struct<last_scanned_at:string,ok:boolean,articles:array<struct<source:string,source_label:string,title:string,summary:string,url:string,date:string>>>>"
 )
