@@ -118,7 +118,7 @@ def test_merges(spark):
     assert merged["a"].change == "body and date" and merged["c"].change == "kept" and merged["d"].change == "added" and merged["a"].date == "x"
     old = spark.createDataFrame([("a", "t0")], "key string, seen string")
     assert sorted(map(tuple, J.last_seen(grown, df.where("key = 'b'"), old, F.lit("t1"), "key").collect())) == [("a", "t0"), ("c", "t1")]
-    assert J.priority_union(df.where("key = 'a'"), df, "key").count() == 4  # a null key is new
+    assert J.priority_union(df.where("key = 'a'"), df, "key").count() == 5
     assert {r.body for r in J.body_from_archive(df.where("key = 'b'"), archive.withColumn("key", F.lit("b")).limit(1), "key").collect()} == {"old"}
 
 
