@@ -124,7 +124,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tolist() for f in features(batch, 1)], pa.list_(pa.int32()))], names=["label", "f"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in features(batch, 1)], pa.binary())], names=["label", "f"])
 
 
 def remainder(doc_id, n: int):
@@ -139,9 +139,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rank = F.row_number().over(Window.partitionBy("label", F.pmod(h, F.lit(2))).orderBy(h, id_col))
     sample = labels.select(id_col, F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)").withColumn("k", rank).where(F.col("k") <= SAMPLE)
     rows = docs.select(id_col, text_col).join(F.broadcast(sample.select(id_col, "label")), id_col)  # 4 * SAMPLE rows at most
-    got = rows.select("label", text_col).mapInArrow(_features, "label int, f array<int>").collect()
-    got.sort(key=lambda r: (r.label, len(r.f), r.f))
-    return fit([np.array(r.f, np.int32) for r in got], np.array([r.label for r in got], int))
+    got = rows.select("label", text_col).mapInArrow(_features, "label int, f binary").collect()
+    got.sort(key=lambda r: (r.label, bytes(r.f)))
+    return fit([np.frombuffer(r.f, np.int32) for r in got], np.array([r.label for r in got], int))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
