@@ -10,7 +10,7 @@ from .language import op4_language_crf
 from .packing import op7_best_fit_packing
 from .quality import op2_quality_nbsvm
 from .sharding import op5_shard_tree
-from .substrings import op10_substring_dedup
+from .substrings import OP10_SQL, op10_substring_dedup
 from .token_output import op1_token_files
 
 
@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op9_exact_dedup": OP9_SQL, "op10_substring_dedup": OP10_SQL}

@@ -231,3 +231,27 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cut_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), x AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
+), g AS (
+  SELECT doc_id, pos, word,
+         string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win,
+         count(*) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS n
+  FROM x
+), r AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS k FROM g WHERE n = 20
+), c AS (
+  SELECT g.doc_id, g.pos, g.word,
+         max(CASE WHEN r.k > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY g.doc_id ORDER BY g.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM g LEFT JOIN r ON g.doc_id = r.doc_id AND g.pos = r.pos
+), k AS (
+  SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 
 from newsloom.llm import substrings as sub
@@ -32,6 +33,9 @@ def test_query_equals_brute_force(spark, sf):
     got = sorted((tuple(r) for r in sub.op10_substring_dedup(spark, sf).collect()), key=str)
     assert got == brute(rows)
     assert sum(r[2] for r in got) > 1000
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    assert sorted(db.sql(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({sub.OP10_SQL})").fetchall()) == sorted(got)
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
