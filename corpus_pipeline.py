@@ -17,18 +17,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts that are equal without white space; null counts as empty."""
     return exact_dedup.exact_dedup(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class that links of five-word shingle sets, 0.8 alike or more, hold together: its least id."""
     return jaccard_join.keep_one(docs)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of 20-word windows that start earlier too; texts that lose all their words go."""
     return substrings.cut_documents(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document that is left, in sequences of 1024 tokens at most."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("part")
@@ -47,6 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole table, each written and read again."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = Staged(stage(spark, docs, sf_dir), f"pipeline-{name}").df
