@@ -11,6 +11,8 @@ import numpy as np
 CACHE_UNITS = 400_000
 #: Longer units are encoded but not remembered.
 CACHE_CHARS = 64
+#: Texts whose new units go to the library in one call.
+TEXTS = 25
 
 _ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 _encoders: dict[str, "UnitEncoder"] = {}
@@ -59,27 +61,48 @@ class UnitEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        found = list(map(self._young.get, rest))
-        if None in found:
-            young, old = self._young, self._old
-            unseen = []
-            for unit in {u for u, ids in zip(rest, found) if ids is None}:
-                if (ids := old.get(unit)) is not None:
-                    young[unit] = ids
-                else:
-                    unseen.append(unit)
-            long = {}
-            if unseen:
-                if "" in unseen or "\n" in unseen or any(map(_ODD_SPACE.search, unseen)) or (encoded := self._units(unseen)) is None:
-                    return self._library(text).tobytes()
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; new units of TEXTS texts at a time go to the library together."""
+        return [ids for b in range(0, len(texts), TEXTS) for ids in self._encode_some(texts[b : b + TEXTS])]
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        # A line feed before the first word makes it a unit like others; its id is cut off again below.
+        split = [("\n" + t).replace("\n", " \n").split(" ")[1:] for t in texts]
+        get = self._young.get
+        found = [list(map(get, units)) for units in split]
+        gaps = [[k for k, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        young, old, long = self._young, self._old, {}
+        wanted = {units[k] for units, own in zip(split, gaps) for k in own}
+        odd = {u for u in wanted if not u or u == "\n"}  # white space in a row; a text's own start also reads so
+        unseen = []
+        for unit in wanted - odd:
+            if (ids := old.get(unit)) is not None:
+                young[unit] = ids
+            else:
+                unseen.append(unit)
+        if unseen:
+            chain = "".join([u if u[0] == "\n" else " " + u for u in unseen])
+            if sum(map(len, chain.split())) != len(chain) - len(unseen):
+                strange = {u for u in unseen if _ODD_SPACE.search(u)}
+                odd |= strange
+                unseen = [u for u in unseen if u not in strange]
+            encoded = self._units(unseen) if unseen else []
+            if encoded is None:
+                odd |= set(unseen)
+            else:
                 for unit, ids in zip(unseen, encoded):
                     (young if len(unit) <= CACHE_CHARS else long)[unit] = ids
-            found = [young[u] if ids is None and u in young else long[u] if ids is None else ids for u, ids in zip(rest, found)]
-            if len(young) > CACHE_UNITS:
-                self._old, self._young = young, {}
-        if _ODD_SPACE.search(first):
-            return self._library(text).tobytes()
-        return (self._library(first).tobytes() if first else b"") + b"".join(found)
+        out = []
+        for text, units, own, places in zip(texts, split, found, gaps):
+            if odd and not odd.isdisjoint([units[k] for k in places]):
+                out.append(self._library(text).tobytes())
+                continue
+            for k in places:
+                unit = units[k]
+                own[k] = young[unit] if unit in young else long[unit]
+            out.append(b"".join(own)[4:])
+        if len(young) > CACHE_UNITS:
+            self._old, self._young = young, {}
+        return out

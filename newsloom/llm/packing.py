@@ -80,8 +80,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capa
     tool, end = encoder(tokenizer), struct.pack("<I", end_id)
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            raw = tool.encode(text or "") + end
+        for doc_id, raw in zip(batch.column(0).to_pylist(), tool.encode_all([t or "" for t in batch.column(1).to_pylist()])):
+            raw += end
             n = len(raw) // 4
             first = n % capacity or capacity
             for piece, e in enumerate(range(first, n + 1, capacity)):

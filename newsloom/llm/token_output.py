@@ -32,7 +32,7 @@ from ._tokens import encoder
 MAGIC, VERSION = b"NLPF", 1
 BLOCK = 1024
 PERCENTILE = 90
-FILE_INPUT_BYTES = 16 << 20
+FILE_INPUT_BYTES = 8 << 20
 END_ID = 2
 
 
@@ -149,10 +149,10 @@ def _write_pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int
             yield row(b"".join(blocks))
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc_id, got in zip(batch.column(0).to_pylist(), tool.encode_all([t or "" for t in batch.column(1).to_pylist()])):
             if not at:
                 yield row(MAGIC + struct.pack("<HHQ", VERSION, BLOCK, TaskContext.get().partitionId()))
-            got = tool.encode(text or "") + end
+            got += end
             ids.append(doc_id or 0)
             nulls.append(doc_id is None)
             firsts.append(total)
@@ -192,7 +192,11 @@ def read_file(content: bytes) -> tuple[int, list, np.ndarray, np.ndarray]:
     ids = np.frombuffer(content, "<i8", docs, index).tolist()
     nulls = np.frombuffer(content, "u1", docs, index + 8 * docs)
     bounds = np.frombuffer(content, "<u8", docs + 1, index + 9 * docs).astype(np.int64)
-    return number, [None if z else i for i, z in zip(ids, nulls)], bounds, unpack_blocks(buf, starts)
+    tokens = np.empty(int(bounds[-1]), np.uint32)
+    for b in range(0, blocks, 256):  # all blocks but the last are full
+        part = unpack_blocks(buf, starts[b : b + 256])
+        tokens[b * BLOCK : b * BLOCK + len(part)] = part
+    return number, [None if z else i for i, z in zip(ids, nulls)], bounds, tokens
 
 
 _DIGEST = "file_no long, file_tokens long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
