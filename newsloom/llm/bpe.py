@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from ._common import documents, prepare
 
 #: Distinct words a worker remembers in each of two generations; longer ones are not remembered.
-CACHE_WORDS, CACHE_CHARS = 150_000, 64
+CACHE_WORDS, CACHE_CHARS = 400_000, 64
 NONE = np.int64(1) << 40
 
 # Fixed value: white space as the vocabulary's own pattern means it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPLIT = regex.compile(f"[{SPACE}]+")
+_PRINTED = regex.compile("[!-~]+")  # bytes that stand for themselves
 _CONTROLS = "\x1c\x1d\x1e\x1f"
 
 
@@ -105,23 +106,29 @@ class WordCodec:
             x, y = np.where(undo_x, self.right[x], x), np.where(undo_x, y, self.left[y])
         return ok
 
-    def propose(self, symbols: list[str]) -> list[int] | None:
-        """The longest vocabulary entry at each place in turn."""
-        ids, out, i, n = self.ids, [], 0, len(symbols) - 1
-        word = "".join(symbols)
-        while i <= n:
-            for e in range(min(n, i + self.longest), i - 1, -1):
-                found = ids.get(word[i:] if e == n else word[i : e + 1])
-                if found is not None:
+    def propose(self, chain: str) -> list[int] | None:
+        """The longest vocabulary entry at each place in turn; the word end goes with the last letter."""
+        get, end, out, i, n, most = self.ids.get, self.end, [], 0, len(chain), self.longest
+        while i < n:
+            e = i + most
+            if e >= n:
+                if (found := get(chain[i:] + end)) is not None:
                     out.append(found)
-                    i = e + 1
                     break
+                e = n - 1
+            while e > i:
+                if (found := get(chain[i:e])) is not None:
+                    out.append(found)
+                    i = e
+                    break
+                e -= 1
             else:
                 return None
         return out
 
-    def merge(self, symbols: list[str]) -> list[int]:
+    def merge(self, chain: str, end: str | None = None) -> list[int]:
         """The merges one by one, lowest rank first and leftmost of equals; n log n."""
+        symbols = [*chain[:-1], chain[-1] + (self.end if end is None else end)]
         ids = [self.ids[s] for s in symbols if s in self.ids]
         n, merges = len(ids), self.merges
         after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), [False] * n
@@ -141,8 +148,11 @@ class WordCodec:
                 heapq.heappush(heap, (found[0], before[i], ids[before[i]], z, found[1]))
         return [x for x, out in zip(ids, gone) if not out]
 
-    def symbols(self, word: str) -> Iterator[list[str] | int]:
-        """The pieces of a word as chains of byte letters, the last with the word end; special tokens as their ids."""
+    def chains(self, word: str) -> Iterator[str | int]:
+        """The pieces of a word as byte letters; special tokens as their ids."""
+        if word.isascii() and word.isalpha():
+            yield word.lower()
+            return
         for part in self._marks.split(word) if "<|" in word else (word,):
             if part in self.special:
                 yield self.special[part]
@@ -150,13 +160,11 @@ class WordCodec:
             part = unicodedata.normalize("NFC", part)
             part = "".join(c.lower() for c in part) if "Σ" in part else part.lower()
             for piece in self._pieces.findall(part):
-                chain = [self._letters[b] for b in piece.encode()]
-                chain[-1] += self.end
-                yield chain
+                yield piece if _PRINTED.fullmatch(piece) else "".join([self._letters[b] for b in piece.encode()])
 
     def learn(self, words: list[str]) -> dict[str, tuple[int, str, str]]:
         """Each word's number of tokens, ids and tokens as text."""
-        chains = [(k, chain) for k, word in enumerate(words) for chain in self.symbols(word)]
+        chains = [(k, chain) for k, word in enumerate(words) for chain in self.chains(word)]
         tokens = [[c] if isinstance(c, int) else self.propose(c) for _, c in chains]
         size = np.array([len(t or ()) for t in tokens], np.int64)
         flat = np.array([x for t in tokens for x in t or ()], np.int64)
