@@ -18,6 +18,9 @@ from ..shipping import arrow_udf
 #: Shares of the text after which a tail marker ends it.
 TAIL_SHARE = 0.8
 
+# Characters of a text that the judge reads.
+JUDGE_CHARS = 2400
+
 # Markers of related-story blocks and tails.
 RELATED_BLOCK = r"(?is)Recommended Stories\s+list of \d+ items?.*?end of list"
 TAIL_MARKERS = r"(?i)(?:Читайте также|Related (?:Stories|Articles|Coverage|News)|Most (?:Read|Popular)|You may also like|Follow us on)"
@@ -204,5 +207,13 @@ def prompt(parts: list[tuple[str, Column, int]]) -> Column:
     return F.concat_ws("\n", *(F.when(collapse(c) != "", F.concat(F.lit(f"{label}: "), F.substring(collapse(c), 1, n))) for label, c, n in parts))
 
 
+def judge_prompt(title: Column, source: Column, summary: Column, body: Column) -> Column:
+    """The user's message to the judge: the whole title, the source, and JUDGE_CHARS of the summary or else the body."""
+    strip = lambda c: F.regexp_replace(text(c), r"(?U)^\s+|\s+$", "")
+    long = F.coalesce(F.nullif(strip(summary), F.lit("")), strip(body))
+    line = lambda label, c: F.when(c != "", F.concat(F.lit(label), c))
+    return F.concat_ws("\n", F.concat(F.lit("Titre : "), strip(title)), line("Source : ", strip(source)), line("Texte : ", left(long, JUDGE_CHARS)))
+
+
 def looks_like_refusal(c: Column, phrases: list[str]) -> Column:
     return F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(F.lower(text(c)), p))

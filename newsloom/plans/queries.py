@@ -120,6 +120,16 @@ def judge_prompt(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("doc_id", T.prompt([("title", F.col("title"), 80), ("text", F.col("body"), 200)]).alias("prompt"))
 
 
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+_TITLE_S, _SOURCE_S, _BODY_S = (_STRIP.format(c) for c in ("title", "coalesce(source, '')", "coalesce(body, '')"))
+
+
+@query(f"WITH {ART} SELECT doc_id, 'Titre : ' || coalesce({_TITLE_S}, '') || CASE WHEN {_SOURCE_S} <> '' THEN chr(10) || 'Source : ' || {_SOURCE_S} ELSE '' END || CASE WHEN {_BODY_S} <> '' THEN chr(10) || 'Texte : ' || substr({_BODY_S}, 1, {T.JUDGE_CHARS}) ELSE '' END AS prompt FROM art")
+def judge_prompt_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The judge's prompt of every article with the reference's bounds, where judge_prompt cuts to short samples."""
+    return articles(spark, sf).select("doc_id", T.judge_prompt(F.col("title"), F.col("source"), F.lit(None), F.col("body")).alias("prompt"))
+
+
 # URLs and pages
 
 _KEPT = "list_filter(string_split(split_part(bare, '?', 2), '&'), lambda p: p <> '' AND lower(split_part(p, '=', 1)) NOT IN (" + ", ".join(f"'{p}'" for p in U.TRACKING) + "))"
@@ -360,6 +370,36 @@ def backfill_bodies(spark: SparkSession, sf: str) -> DataFrame:
     return J.backfill_bodies(archive, update(10 + i % 40, 1).unionByName(update(15 + i % 11, 2)), "key", "seq")
 
 
+_WHOLE_BASE = "SELECT doc_id AS key, CASE WHEN doc_id % 3 <> 0 THEN text END AS body, CASE WHEN doc_id % 7 <> 0 THEN '2024-01-01' END AS date FROM documents WHERE doc_id % 5 <> 4"
+_WHOLE_MORE = "SELECT doc_id AS key, CASE WHEN doc_id % 4 = 0 THEN text || chr(10) || source ELSE text END AS body, '2025-01-01' AS date FROM documents WHERE doc_id % 5 = 4 OR doc_id % 2 = 0 OR doc_id % 3 = 0"
+
+
+@query(
+    f"""WITH a AS ({_WHOLE_BASE}), b AS ({_WHOLE_MORE}), m AS (SELECT a.key AS ak, b.key AS bk, a.body AS ab, b.body AS bb, a.date AS ad, b.date AS bd, length(coalesce(b.body, '')) > length(coalesce(a.body, '')) AS longer FROM a FULL OUTER JOIN b ON a.key = b.key)
+    SELECT coalesce(ak, bk) AS key, CASE WHEN ak IS NULL OR longer THEN bb ELSE ab END AS body, coalesce(ad, bd) AS date,
+    CASE WHEN ak IS NULL THEN 'added' WHEN bk IS NULL THEN 'kept' WHEN longer AND ad IS NULL THEN 'body and date' WHEN longer THEN 'body' WHEN ad IS NULL THEN 'date' ELSE 'kept' END AS change FROM m"""
+)
+def archive_merge_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Merges whole texts, some with their source, some missing in the base; every document is on a side at least."""
+    docs, i = read(spark, sf, "documents"), F.col("doc_id")
+    base = docs.where(i % 5 != 4).select(i.alias("key"), F.when(i % 3 != 0, F.col("text")).alias("body"), F.when(i % 7 != 0, F.lit("2024-01-01")).alias("date"))
+    more = docs.where((i % 5 == 4) | (i % 2 == 0) | (i % 3 == 0)).select(i.alias("key"), F.when(i % 4 == 0, F.concat("text", F.lit("\n"), "source")).otherwise(F.col("text")).alias("body"), F.lit("2025-01-01").alias("date"))
+    return J.merge_archives(base, more, "key")
+
+
+@query(
+    f"""WITH u AS (SELECT doc_id, left(text, {J.BODY_CHARS}) AS one, left(source || chr(10) || text, {J.BODY_CHARS}) AS two FROM documents),
+    b AS (SELECT doc_id, CASE WHEN length(two) > length(one) THEN two ELSE one END AS best FROM u)
+    SELECT d.doc_id AS key, CASE WHEN length(coalesce(best, '')) > length(coalesce(old, '')) THEN best ELSE old END AS body FROM (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN text END AS old FROM documents) d JOIN b ON d.doc_id = b.doc_id"""
+)
+def backfill_bodies_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts and missing bodies, updated by the whole text and by that after its source: BODY_CHARS cuts what comes in."""
+    docs, i = read(spark, sf, "documents"), F.col("doc_id")
+    archive = docs.select(i.alias("key"), F.when(i % 3 != 0, F.col("text")).alias("body"))
+    update = lambda body, s: docs.select(i.alias("key"), body.alias("body"), F.lit(s).alias("seq"))
+    return J.backfill_bodies(archive, update(F.col("text"), 1).unionByName(update(F.concat("source", F.lit("\n"), "text"), 2)), "key", "seq")
+
+
 @query("SELECT k.user_id AS key, coalesce(x.seen, 'before') AS seen FROM (SELECT DISTINCT user_id FROM events) k LEFT JOIN (SELECT DISTINCT user_id, 'old' AS seen FROM events WHERE user_id % 7 = 0) x ON k.user_id = x.user_id WHERE k.user_id NOT IN (SELECT user_id FROM events WHERE event_id % 50 = 0)")
 def last_seen_state(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events").select(F.col("user_id").alias("key"), "event_id")
