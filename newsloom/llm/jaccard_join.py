@@ -25,6 +25,7 @@ from ._common import Staged, documents, prepare, release
 from ._components import components
 from ._rows import unique_rows
 from ._words import chunks, grams, mix, raw, spans, word_hashes
+from .sharding import slots
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 20, 6, 0.9999
@@ -271,10 +272,15 @@ def _near_classes(rows: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id leads its class. Rows that share an id stay if one of them leads; a null id stays."""
-    leads = near_classes(docs, id_col, text_col).groupBy("doc_id").agg(F.max(F.col("class_id") == F.col("doc_id")).alias("leads"))
-    gone = Staged(leads.where("NOT leads").select(F.col("doc_id").alias("_gone")), "near-copies")
-    return docs.join(gone.side(), F.col(id_col) == F.col("_gone"), "left_anti")
+    """One row of docs from each class, its least id's. Rows that share an id, or have none, count by their order."""
+    prepare(docs.sparkSession)
+    n, distinct = docs.agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
+    rows, number = docs, id_col
+    if n != distinct:
+        rows, number = Staged(slots(docs.withColumn("_all", F.lit(0)), "_all", [id_col, text_col], "_number"), "numbered-docs").df, "_number"
+    found = _near_classes(rows.select(F.col(number).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
+    gone = Staged(found.where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-copies")
+    return rows.join(gone.side(), F.col(number) == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
