@@ -303,15 +303,20 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
 
 
 def accept(docs: DataFrame, model: Crf, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of docs, as they are, whose text has a language with a score of `least` or more."""
+    """The rows of docs, as they are, whose text has a language with a score of `least` or more.
+
+    A model that learned from fewer than two languages tells none apart: then every text with a letter stays.
+    """
     prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    tells = len(model.labels) > 1 and bool(model.weights.any())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in chunks(batches, text=at):
-            stays = [len(p) > 0 and float(p.mean(axis=0).max()) >= least for p in own.label([t or "" for t in batch.column(at).to_pylist()])]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            stays = [len(p) > 0 and float(p.mean(axis=0).max()) >= least for p in own.label(texts)] if tells else [_has_letter(t) for t in texts]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
