@@ -178,7 +178,7 @@ def fit(texts: list[tuple[str, str]], seed: int = 1) -> Crf:
     for lang, text in texts:
         if own := [w for w in text.lower().split() if _has_letter(w)]:
             words[labels.index(lang)].append(own)
-    frequent = [[w for w, _ in Counter(w for own in docs for w in own[:2000]).most_common(LEXICON)] for docs in words]
+    frequent = [[w for w, _ in Counter(w for own in docs for w in own).most_common(LEXICON)] for docs in words]
     lexicon = sorted({w for own in frequent for w in own})
     number = {w: 1 + j for j, w in enumerate(lexicon)}
     model = Crf(labels, np.zeros((1 << FEATURE_BITS, max(1, k)), np.float32), {}, np.zeros((max(1, k),) * 2), np.zeros(max(1, k)))
