@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,24 +16,82 @@ from ..shipping import ship
 
 #: The six separators of a word: space, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
-#: Rows in one Arrow batch; documents are large, so the default of 10,000 rows would be.
-BATCH_ROWS = 1000
+#: Rows and bytes in one Arrow batch; documents are large, so the default of 10,000 rows would be.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+#: A key that holds more than one in HOT of a table's rows is hot. There are HOT such keys at most.
+HOT = 1000
 #: A table is broadcast only if its written size is below this many bytes.
 BROADCAST_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of Python stages and ships the package to their workers."""
+    """Bounds the Arrow batches of Python stages, where the session leaves them at Spark's defaults, and ships the package."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name, default, bound in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864b", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, str(bound))
+
+
+class _Worker:
+    """What a Python worker keeps between tasks: things of one operator, the last that ran."""
+
+    owner: str | None = None
+    things: dict = {}
+
+
+def _give_back() -> None:
+    """Returns freed memory to the machine, which Python's and Arrow's allocators otherwise keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def keep(name: str, make: Callable):
+    """The worker's thing of this name; it stays until a task of another operator begins."""
+    if name not in _Worker.things:
+        _Worker.things[name] = make()
+    return _Worker.things[name]
+
+
+def task(owner: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """`run` for mapInArrow as a task of the operator `owner`: what others kept goes first, and at its end free memory."""
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if _Worker.owner != owner:
+            _Worker.owner = owner
+            _Worker.things.clear()
+            _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return start
+
+
+def fresh(columns: list[str], *stems: str) -> list[str]:
+    """Names for columns of our own beside the caller's: the stems, with as many underscores before them as it takes."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in stems:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset in a local session."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = getattr(spark.sparkContext, "_newsloom_shared", None)
         if not found:
+            if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+                raise RuntimeError("spark.checkpoint.dir is unset: executors of a cluster need a folder that all of them share")
             found = "file://" + tempfile.mkdtemp(prefix="newsloom-")
             spark.sparkContext._newsloom_shared = found
     return found.rstrip("/")
@@ -86,6 +147,19 @@ class Staged:
         delete(self.spark, self.path)
 
 
+def with_unique(left: DataFrame, right: Staged, on: list[str], held: str, total: int, how: str = "inner") -> DataFrame:
+    """Inner or left join of `left` with `right`, whose keys are unique and whose column `held` says how many rows of left have each.
+
+    A small right side is broadcast. Beyond that, hot keys (more than one in HOT of left's `total` rows) are broadcast, as
+    there are HOT at most, and only the rest shuffles; so no key gathers more than that in one task.
+    """
+    if right.small:
+        return left.join(F.broadcast(right.df), on, how)
+    hot = F.broadcast(right.df.where(F.col(held) > total // HOT))
+    rest = right.df.where(F.col(held) <= total // HOT)
+    return left.join(hot, on).unionByName(left.join(hot.select(*on), on, "left_anti").join(rest, on, how))
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark clear the shuffle files of finished queries now, not when the driver next happens to collect garbage."""
     gc.collect()

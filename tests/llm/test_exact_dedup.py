@@ -42,6 +42,35 @@ def test_random_rows(spark, small, monkeypatch, small_groups):
     assert read(ed.annotate(small(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("small_lists", [True, False])
+def test_whole_rows_stay(spark, small, monkeypatch, small_lists):
+    """Also beyond a broadcast, where groups are hot or not and the list of removed rows is tested by a filter first."""
+    if not small_lists:
+        monkeypatch.setattr("newsloom.llm._common.BROADCAST_BYTES", -1)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i % 2500}") for i in range(6000)]
+    assert read(ed.annotate(small(rows))) == brute(rows)
+    want = sorted(r[0] for r in brute(rows) if r[3])
+    assert sorted(r.doc_id for r in ed.exact_dedup(small(rows)).collect()) == want
+
+
+def test_names_that_clash_and_the_least_id(spark, small):
+    rows = [(-(2**63), "a b"), (2**63 - 1, "ab"), (-(2**63), "b"), (None, "b ")]
+    names = ["_n", "_sha", "_size", "_row", "_h", "_gone", "sha", "r", "best", "i", "maybe", "size"]
+    docs = small(rows).selectExpr("*", *(f"{k} AS `{n}`" for k, n in enumerate(names)))
+    assert read(ed.annotate(docs)) == brute(rows)
+    kept = ed.exact_dedup(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id is None, r.text, r._row, r.maybe) for r in kept.collect()) == [(False, "a b", 3, 10), (True, "b ", 3, 10)]
+    unique = docs.where("text <> 'b ' AND text <> 'b'")
+    assert [(r.text, r._gone) for r in ed.exact_dedup(unique).collect()] == [("a b", 5)]
+
+
+def test_ten_megabytes(spark, small):
+    long = "word " * 2_000_000
+    rows = [(1, long), (2, long.replace(" ", "  ")), (3, "x")]
+    assert read(ed.annotate(small(rows))) == brute(rows)
+
+
 def test_full_filter_stays_exact(spark, small, monkeypatch):
     monkeypatch.setattr(ed, "_segments", lambda n: 16)
     rows = [(i, str(i % 31_000)) for i in range(40_000)]
