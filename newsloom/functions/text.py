@@ -39,7 +39,8 @@ def text(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(text(c), r"(?U)\s+", " "))
+    # A single space stays as it is, so that only other white space and runs cost a replacement.
+    return F.trim(F.regexp_replace(text(c), r"(?U)\s{2,}|[^\S ]", " "))
 
 
 def normalize(c: Column) -> Column:

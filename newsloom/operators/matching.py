@@ -1,7 +1,13 @@
-"""Terms, stems and proximity in normalised text columns, as Catalyst expressions."""
+"""Terms, stems and proximity in normalised text columns, as Catalyst expressions.
+
+What a lambda captures is evaluated again for each element. Columns that are costly (scans of a text) are therefore bound
+once, as the only element of an array, before a lambda reads them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +16,13 @@ from .vocabulary import Stem, TermSet, lowered, quote
 
 #: Most characters between two spans that count as related.
 WINDOW = 140
+#: Lengths that are summed up in one go; the sums of such runs are then summed.
+_RUN = 64
+
+
+def bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c), with c evaluated once however often `use` reads it, also within lambdas."""
+    return F.transform(F.array(c), use)[0]
 
 
 def phrase_present(c: Column, phrase: str) -> Column:
@@ -22,8 +35,12 @@ def any_term(c: Column, terms: TermSet) -> Column:
 
 def find_terms(c: Column, terms: TermSet) -> Column:
     """The terms found by a leftmost scan without overlaps, in the set's order; a term within a longer match is not found."""
-    found = F.regexp_extract_all(c, F.lit(terms.whole_words), F.lit(0))
-    return F.when(any_term(c, terms), F.filter(literal(list(terms.terms)), lambda t: F.array_contains(found, t))).otherwise(literal([]))
+    if not any(terms.terms):
+        return literal([])
+    found, own = F.regexp_extract_all(c, F.lit(terms.whole_words), F.lit(0)), literal(list(terms.terms))
+    if len(set(terms.terms)) == len(terms.terms):
+        return F.array_intersect(own, found)
+    return bound(F.array_distinct(found), lambda f: F.filter(own, lambda t: F.array_contains(f, t)))  # keeps repeats
 
 
 def any_pattern(c: Column, patterns: list[str]) -> Column:
@@ -32,10 +49,11 @@ def any_pattern(c: Column, patterns: list[str]) -> Column:
 
 def find_with_stems(c: Column, language: Column, terms: TermSet, stems: list[Stem]) -> Column:
     """find_terms, then the names of stems that match and are not there yet."""
+    if not stems:
+        return find_terms(c, terms)
     hits = [F.when((F.lit(True) if s.language is None else language == s.language) & c.rlike("(?iU)" + s.pattern), F.lit(s.name)) for s in stems]
-    named = F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else literal([])
-    found = find_terms(c, terms)
-    return F.concat(found, F.array_except(named, found))
+    named = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return bound(find_terms(c, terms), lambda found: F.concat(found, F.array_except(named, found)))
 
 
 def stem_match(c: Column, pattern: str) -> Column:
@@ -44,35 +62,70 @@ def stem_match(c: Column, pattern: str) -> Column:
 
 def contains_any(c: Column, parts: list[str]) -> Column:
     """Substrings without word bounds."""
-    return F.exists(literal(parts), lambda p: F.contains(c, p)) if parts else F.lit(False)
+    out = F.lit(False)
+    for p in parts:
+        out = out | F.contains(c, F.lit(p))
+    return out
+
+
+def _sums(lengths: Column) -> Column:
+    """The sum of all lengths up to each, itself included. Appending is quadratic, so runs of _RUN are summed apart."""
+
+    def added(values: Column, first: Column) -> Column:
+        start = F.struct(first.cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(values, start, lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["out"], a["at"] + n).alias("out")), lambda a: a["out"])
+
+    def all_runs(own: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(own) - 1, F.lit(0)), F.lit(_RUN)), lambda k: F.slice(own, k + 1, F.lit(_RUN)))
+        totals = F.transform(runs, lambda r: F.aggregate(r, F.lit(0).cast("long"), lambda s, n: s + n))
+        return bound(F.struct(runs.alias("runs"), added(totals, F.lit(0)).alias("ends")), lambda x: F.flatten(F.transform(x["runs"], lambda r, k: added(r, F.coalesce(F.get(x["ends"], k - 1), F.lit(0))))))
+
+    return bound(lengths.cast("array<bigint>"), all_runs)
 
 
 def spans(c: Column, pattern: str) -> Column:
-    """Start and end (from 0, end excluded) of each match."""
-    found, gaps = F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+    """Start and end (from 0, end excluded) of each match, in order."""
+    none = F.array().cast("array<struct<s:int,e:int>>")
+
+    def of(x: Column) -> Column:
+        # Gap, match, gap, match, ...: a match ends where the sum of all lengths up to it ends.
+        sizes = F.flatten(F.zip_with(x["gaps"], x["found"], lambda g, f: F.array(F.length(g), F.coalesce(F.length(f), F.lit(0)))))
+        return bound(_sums(sizes), lambda at: F.transform(F.sequence(F.lit(0), F.size(x["found"]) - 1), lambda k: F.struct(at[2 * k].cast("int").alias("s"), at[2 * k + 1].cast("int").alias("e"))))
+
+    both = F.struct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)).alias("found"), F.split(c, pattern, -1).alias("gaps"))
+    return bound(both, lambda x: F.when(F.size(x["found"]) > 0, of(x)).otherwise(none))
+
+
+def least_gap(c: Column, targets: TermSet, actions: TermSet) -> Column:
+    """The least number of characters between a target and an action, 0 if they overlap; null if either is missing.
+
+    Spans of one kind are in order and do not overlap, so that one pass over both kinds by start sees, for each, the
+    nearest of the other kind before it.
+    """
+    far = F.lit(-(1 << 40)).cast("long")
+
+    def tagged(pattern: str, kind: int) -> Column:
+        return F.transform(spans(c, pattern), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("k")))
 
-    def step(acc: Column, pair: Column) -> Column:
-        s = acc["at"] + F.length(pair["gaps"])
-        e = s + F.length(pair["found"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.cast("int").alias("s"), e.cast("int").alias("e")))).alias("out"))
+    def step(a: Column, x: Column) -> Column:
+        other = F.when(x["k"] == 0, a["action"]).otherwise(a["target"])
+        gap = F.greatest(F.lit(0).cast("long"), x["s"] - other)
+        end = x["e"].cast("long")
+        return F.struct(F.when(x["k"] == 0, F.greatest(end, a["target"])).otherwise(a["target"]).alias("target"), F.when(x["k"] == 1, F.greatest(end, a["action"])).otherwise(a["action"]).alias("action"), F.least(a["best"], gap).alias("best"))
 
-    pairs = F.filter(F.arrays_zip(found.alias("found"), gaps.alias("gaps")), lambda p: p["found"].isNotNull())
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
+    start = F.struct(far.alias("target"), far.alias("action"), F.lit(1 << 40).cast("long").alias("best"))
+    best = F.aggregate(F.array_sort(F.concat(tagged(targets.stems, 0), tagged(actions.stems, 1))), start, step, lambda a: a["best"])
+    return F.when(c.rlike(targets.stems) & c.rlike(actions.stems), best)
 
 
 def related(c: Column, targets: TermSet, actions: TermSet, window: int = WINDOW) -> Column:
     """Whether some target and some action overlap or stand within `window` characters, in either order."""
-    near = F.exists(
-        spans(c, targets.stems),
-        lambda t: F.exists(spans(c, actions.stems), lambda a: ((t["s"] < a["e"]) & (a["s"] < t["e"])) | F.when(a["s"] >= t["e"], a["s"] - t["e"] <= window).otherwise(t["s"] - a["e"] <= window)),
-    )
-    return F.when(c.rlike(targets.stems) & c.rlike(actions.stems), near).otherwise(False)
+    if not any(targets.terms) or not any(actions.terms):
+        return F.lit(False)
+    return F.coalesce(bound(c, lambda x: least_gap(x, targets, actions)) <= window, F.lit(False))
 
 
 def related_rows(df: DataFrame, key: str, text: str, targets: TermSet, actions: TermSet, window: int = WINDOW) -> DataFrame:
-    """Row by row the least gap between a target and an action, as a join of spans on the key; 0 if they overlap."""
-    side = lambda t, name: df.where(F.col(text).rlike(t.stems)).select(key, F.explode(spans(F.col(text), t.stems)).alias(name))
-    t, a = side(targets, "t"), side(actions, "a")
-    gap = F.greatest(F.lit(0), F.col("a.s") - F.col("t.e"), F.col("t.s") - F.col("a.e"))
-    return t.join(a, key).where(gap <= window).groupBy(key).agg(F.min(gap).alias("gap"))
+    """key, gap of the rows that have a target within `window` characters of an action; 0 if they overlap."""
+    gaps = df.where(F.col(text).rlike(targets.stems) & F.col(text).rlike(actions.stems)).select(key, least_gap(F.col(text), targets, actions).alias("gap"))
+    return gaps.where(F.col("gap") <= window)

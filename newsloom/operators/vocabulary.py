@@ -6,6 +6,7 @@ Java patterns carry (?U): without it, letters beyond ASCII would not count as wo
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -17,6 +18,31 @@ def quote(term: str) -> str:
     return _SPECIAL.sub(r"\\\1", term)
 
 
+def _branches(terms: list[str]) -> str:
+    """The terms as one pattern that tries the longest first, with what they begin alike in common.
+
+    All terms that match at a place begin one another, so that going on before stopping finds the longest.
+    """
+    if len(terms) == 1:
+        return quote(terms[0])
+    by_first: dict[str, list[str]] = {}
+    for t in terms:
+        by_first.setdefault(t[:1], []).append(t)
+    stops = by_first.pop("", None) is not None
+    out = []
+    for own in by_first.values():
+        n = len(os.path.commonprefix(own))
+        out.append(quote(own[0][:n]) + (_branches([t[n:] for t in own]) if len(own) > 1 else quote(own[0][n:])))
+    if not out:
+        return ""
+    return "(?:" + "|".join(out) + ")" + ("?" if stops else "")
+
+
+def _first_letters(terms: list[str]) -> str:
+    """A look at the next character, which sorts out most places of a text at once."""
+    return "(?=[" + "".join(sorted({quote(t[0]) for t in terms})) + "])"
+
+
 def lowered(term: str) -> str:
     return " ".join(term.lower().split())
 
@@ -35,14 +61,15 @@ class TermSet:
     @property
     def whole_words(self) -> str:
         """Any term between characters that are no word characters; the longest first, so that it shadows those within it."""
-        own = sorted(dict.fromkeys(t for t in self.terms if t), key=len, reverse=True)
-        return r"(?U)(?<!\w)(?:" + "|".join(map(quote, own)) + r")(?!\w)" if own else r"(?!)"
+        own = list(dict.fromkeys(t for t in self.terms if t))
+        return r"(?U)" + _first_letters(own) + r"(?<!\w)(?:" + _branches(own) + r")(?!\w)" if own else r"(?!)"
 
     @property
     def stems(self) -> str:
         """Any term from a word's start; to the word's end too if its last character is an ASCII letter."""
-        own = [r"(?<!\w)" + quote(t) + (r"(?!\w)" if t[-1].isascii() and t[-1].isalpha() else "") for t in dict.fromkeys(self.terms) if t]
-        return r"(?U)(?:" + "|".join(sorted(own, key=len, reverse=True)) + ")" if own else r"(?!)"
+        terms = list(dict.fromkeys(t for t in self.terms if t))
+        own = [quote(t) + (r"(?!\w)" if t[-1].isascii() and t[-1].isalpha() else "") for t in terms]
+        return r"(?U)" + _first_letters(terms) + r"(?<!\w)(?:" + "|".join(sorted(own, key=len, reverse=True)) + ")" if own else r"(?!)"
 
     def containers(self) -> dict[str, list[str]]:
         """For each term, the others of the set that hold it as whole words."""
