@@ -20,8 +20,8 @@ SEPARATORS = " \t\n\x0b\x0c\r"
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: A key that holds more than one in HOT of a table's rows is hot. There are HOT such keys at most.
 HOT = 1000
-#: A table is broadcast only if its written size is below this many bytes.
-BROADCAST_BYTES = 32 << 20
+#: A table is broadcast only if its written size is below this many bytes; read, it takes up to about eight times as much.
+BROADCAST_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -151,13 +151,23 @@ def with_unique(left: DataFrame, right: Staged, on: list[str], held: str, total:
     """Inner or left join of `left` with `right`, whose keys are unique and whose column `held` says how many rows of left have each.
 
     A small right side is broadcast. Beyond that, hot keys (more than one in HOT of left's `total` rows) are broadcast, as
-    there are HOT at most, and only the rest shuffles; so no key gathers more than that in one task.
+    there are HOT at most, and their rows are spread by their other columns, while the rest meet by key. So no key gathers
+    more than that in one task.
     """
     if right.small:
         return left.join(F.broadcast(right.df), on, how)
-    hot = F.broadcast(right.df.where(F.col(held) > total // HOT))
-    rest = right.df.where(F.col(held) <= total // HOT)
-    return left.join(hot, on).unionByName(left.join(hot.select(*on), on, "left_anti").join(rest, on, how))
+    values = [c for c in right.schema.names if c not in on]
+    limit, held_by = max(1, total // HOT), F.col(held)
+    hot = right.df.where(held_by > limit).select(*on, F.struct(*values).alias("_hot"))
+    marked = left.join(F.broadcast(hot), on, "left")
+    is_hot = F.col("_hot").isNotNull()
+    # Rows of hot keys, which have no partner in what follows, differ in `_salt`; that of all others is 0.
+    marked = marked.withColumn("_salt", F.when(is_hot, F.xxhash64(*left.columns)).otherwise(0))
+    rest = right.df.where(held_by <= limit).select(*on, F.struct(*values).alias("_cool"), F.when(held_by < 0, 1).otherwise(0).cast("long").alias("_salt"))
+    met = is_hot | F.col("_cool").isNotNull()
+    out = marked.join(rest, [*on, "_salt"], "left")
+    out = out.where(met) if how == "inner" else out
+    return out.select(*left.columns, *(F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cool.{c}")).alias(c) for c in values))
 
 
 def release(spark: SparkSession) -> None:

@@ -64,20 +64,40 @@ def spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def _some_hashes(own: np.ndarray, base: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """Of words that start at `base` in the bytes `own`; separators after a word count as nothing."""
+    length = np.diff(np.append(base, len(own)))
+    place = np.arange(len(own)) - np.repeat(base, length)
+    np.minimum(place, np.repeat(size, length), out=place)
+    return np.add.reduceat(_LETTERS[k][own] * _power(k, int(size.max()) + 1)[place], base)
+
+
+def _long_hash(own: np.ndarray, k: int) -> np.uint64:
+    """Of a word of any length, piece by piece."""
+    total, power, step = np.uint64(0), np.uint64(1), np.uint64(pow(int(_STEPS[k]), CHUNK_BYTES, 1 << 64))
+    with np.errstate(over="ignore"):
+        for b in range(0, len(own), CHUNK_BYTES):
+            piece = own[b : b + CHUNK_BYTES]
+            total += power * (_LETTERS[k][piece] * _power(k, CHUNK_BYTES)[: len(piece)]).sum(dtype=np.uint64)
+            power *= step
+    return total
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, both: bool = False) -> list[np.ndarray]:
-    """A 64-bit hash of each word, or two independent ones."""
-    if not len(starts):
-        return [np.zeros(0, np.uint64)] * (2 if both else 1)
+    """A 64-bit hash of each word, or two independent ones; about CHUNK_BYTES of text at a time, however long it is."""
+    kinds = 2 if both else 1
+    out = [np.zeros(len(starts), np.uint64) for _ in range(kinds)]
     size = ends - starts
-    own = data[starts[0] : ends[-1]]
-    base = starts - starts[0]
-    place = np.arange(len(own)) - np.repeat(base, np.diff(np.append(base, len(own))))
-    np.minimum(place, np.repeat(size, np.diff(np.append(base, len(own)))), out=place)
-    most = int(size.max()) + 1
-    out = []
-    for k in range(2 if both else 1):
-        out.append(mix(np.add.reduceat(_LETTERS[k][own] * _power(k, most)[place], base) + size.astype(np.uint64)))
-    return out
+    b = 0
+    while b < len(starts):
+        e = max(b + 1, int(np.searchsorted(ends, starts[b] + CHUNK_BYTES, "right")))
+        for k in range(kinds):
+            if e == b + 1 and size[b] > CHUNK_BYTES:
+                out[k][b] = _long_hash(data[starts[b] : ends[b]], k)
+            else:
+                out[k][b:e] = _some_hashes(data[starts[b] : ends[e - 1]], starts[b:e] - starts[b], size[b:e], k)
+        b = e
+    return [mix(h + size.astype(np.uint64)) for h in out]
 
 
 def grams(words: np.ndarray, n: int, which: int = 0) -> np.ndarray:

@@ -1,16 +1,19 @@
-"""Repeated substrings by a compacted de Bruijn graph over anchors.
-
-A window is 20 words in a row. Its anchor is the k-mer of least hash in it, so equal windows have equal anchors. Windows in
-a row with one anchor form an edge: the stretch of text that they cover. The steps:
-
-1. Edges are counted by anchor. An anchor that stands once has no repeated window and goes. An anchor all of whose edges
-   are alike does not branch: its windows always come together, and it stays compact.
-2. Spark joins leave the edges of repeated anchors, and find the first source coordinate (doc_id, start) of each kind of
-   edge. Every later edge of its kind lies wholly in a repeated span.
-3. At branching anchors, where different edges may share windows, the first edge of each kind is opened into its
-   windows, and source coordinates decide window by window.
-
-Spans of both kinds are cut from the texts; overlapping spans merge. Hashes of content have 128 bits.
+"""Repeated substrings by a compacted de Bruijn graph of word k-mers.
+
+The graph's k-mers are windows of 20 words; two that follow each other share 19. They are kept as runs: windows in a row
+whose least 6-gram by hash (their anchor) stands at one place form an edge, so that equal k-mers meet by their anchor.
+
+1. Edges are counted by anchor. An anchor that stands once has no repeated window and goes.
+2. What is left is grouped to the graph's distinct edges, with their first source coordinate (doc_id, start), how often
+   they stand, and what they follow and are followed by. Where an edge is always followed by one other, which always
+   follows it, the path does not branch. Joins by pointer doubling compact such paths: every edge finds the head of its
+   path and its distance from there, in as many rounds as the logarithm of the longest path.
+3. A later occurrence of a path that stands twice or more lies wholly in a repeated span. The source words at all its
+   coordinates are read again and compared by SHA-256; edges of a path whose words differ are opened as below.
+4. An anchor with several kinds of edges branches, and these may share windows. The first edge of each kind is opened into its
+   windows, named by 128 bits, and source coordinates decide window by window.
+
+Spans of both kinds are cut from the texts; overlapping spans merge.
 """
 
 from __future__ import annotations
@@ -21,16 +24,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Staged, documents, prepare, release
+from ._common import Staged, documents, fresh, prepare, release, task, with_unique
 from ._rows import unique_rows
+from .exact_dedup import Bloom
 from .sharding import slots
 from ._words import chunks, grams, mix, raw, spans, word_hashes
 
 WINDOW, K = 20, 6
-_PLACE_BITS = np.uint64(26)
+#: Bits of each of an edge's two names. What is found does not depend on them; tests take fewer.
+NAME_BITS = 64
+#: More than the logarithm of any path's length; only hashes that collide could need more.
+_MOST_ROUNDS = 40
+#: What stands before a text's first edge and after its last.
+_BOUND = 0
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -52,38 +61,46 @@ def _windows(first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(ok)[:-1] > 0)
 
 
-def _edges(words: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, ...]:
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of each `width` values in a row, the first of equals."""
+    low, place, size = values, np.arange(len(values)), 1
+
+    def joined(low: np.ndarray, place: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        n = len(low) - shift
+        later = low[shift:] < low[:n]
+        return np.where(later, low[shift:], low[:n]), np.where(later, place[shift:], place[:n])
+
+    while size * 2 <= width:
+        low, place = joined(low, place, size)
+        size *= 2
+    return joined(low, place, width - size)[1] if width > size else place
+
+
+def _edges(words: list[np.ndarray], first: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
     """Anchor, two content hashes, first window (as a word number) and number of windows of each edge."""
     at = _windows(first)
     if not len(at):
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
     kmer = grams(words[0], K)
-    low = (kmer >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(kmer), dtype=np.uint64)
-    width, size = WINDOW - K + 1, 1
-    while size * 2 <= width:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    if width > size:
-        low = np.minimum(low[: len(low) - (width - size)], low[width - size :])
-    place = (low[at] & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    place = _least(kmer, WINDOW - K + 1)[at]
     begins = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1))))
     n = np.diff(np.append(begins, len(at)))
     s, e = at[begins], at[begins] + n - 1
     seg = []
     for k in range(2):
         whole = grams(words[k], WINDOW, k)
-        seg.append(mix(whole[s] * _A + whole[e] * _B + n.astype(np.uint64)).view(np.int64))
+        seg.append((mix(whole[s] * _A + whole[e] * _B + n.astype(np.uint64)) >> np.uint64(64 - bits)).view(np.int64))
     return kmer[place[begins]].view(np.int64), seg[0], seg[1], s, n
 
 
 _COUNTED = "anchor long, seg long"
-_EDGE = "anchor long, seg long, seg2 long, doc_id long, at int, n int"
+_EDGE = "anchor long, seg long, seg2 long, before long, after long, doc_id long, at int, n int"
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for _, _, _, _, first, words in _texts(batches):
-        anchor, seg, _, _, _ = _edges(words, first)
+        anchor, seg, _, _, _ = _edges(words, first, bits)
         yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(seg)], names=["anchor", "seg"])
 
 
@@ -93,36 +110,73 @@ def _owners(batch: pa.RecordBatch, first: np.ndarray, at: np.ndarray) -> tuple[n
     return batch.column(0).to_numpy()[own], (at - first[own]).astype(np.int32)
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch, _, _, _, first, words in _texts(batches):
-        anchor, seg, seg2, s, n = _edges(words, first)
-        doc_id, at = _owners(batch, first, s)
-        yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(seg), pa.array(seg2), pa.array(doc_id), pa.array(at), pa.array(n.astype(np.int32))], names=["anchor", "seg", "seg2", "doc_id", "at", "n"])
+        anchor, seg, seg2, s, n = _edges(words, first, bits)
+        own = np.searchsorted(first, s, "right") - 1
+        same = own[1:] == own[:-1]  # the edges of a text follow each other without a gap
+        before, after = np.full(len(seg), _BOUND, np.int64), np.full(len(seg), _BOUND, np.int64)
+        before[1:][same], after[:-1][same] = seg[:-1][same], seg[1:][same]
+        doc_id, at = batch.column(0).to_numpy()[own], (s - first[own]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, seg, seg2, before, after, doc_id, at, n.astype(np.int32))], names=["anchor", "seg", "seg2", "before", "after", "doc_id", "at", "n"])
 
 
-def _ranges(column: pa.Array, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """The starts and lengths in one list of packed ranges."""
-    packed = np.asarray(column[own].values.to_numpy(zero_copy_only=False) if column[own].is_valid else [], np.int64)
-    return packed >> 20, packed & 0xFFFFF
+_RANGE_BITS = 32
 
 
-_WINDOW = "h long, h2 long, doc_id long, at int"
+def _packed(at: Column, n: Column) -> Column:
+    return F.shiftleft(at.cast("long"), _RANGE_BITS) + n
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, _, _, _, first, words in _texts(batches):
-        places = []
+def _ranges(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The starts and numbers of windows of packed ranges."""
+    return packed >> _RANGE_BITS, packed & ((1 << _RANGE_BITS) - 1)
+
+
+def _list(column: pa.Array, own: int, *fields: str) -> list[np.ndarray]:
+    """One row's list as arrays: of numbers, or of the fields of structs; a null inside is 0."""
+    if not column[own].is_valid:
+        return [np.zeros(0, np.int64)] * max(1, len(fields))
+    values = column[own].values
+    parts = [values.field(f) for f in fields] if fields else [values]
+    return [pc.fill_null(x, 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in parts]
+
+
+#: Of an opened window (kind 0): its two names, doc_id and place. Of a path at one of its places (kind 1): its name, and the first 16
+#: bytes of the SHA-256 of the words there.
+_FOUND = "kind int, h long, h2 long, x long, at int"
+
+
+def _sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, asked): asked has ranges to be opened (p is null) and ranges of the path p to be read."""
+    for batch, data, starts, ends, first, words in _texts(batches):
+        held, places, read = data.tobytes(), [], []
         for k in range(batch.num_rows):
-            s, n = _ranges(batch.column(2), k)
-            if len(s):
-                places.append(first[k] + np.repeat(s - np.cumsum(n) + n, n) + np.arange(n.sum()))
-        at = np.concatenate(places) if places else np.zeros(0, np.int64)
-        if len(at):
+            values = batch.column(2)[k].values
+            if values is None or not len(values):
+                continue
+            r, p = _list(batch.column(2), k, "r", "p")
+            opened = np.asarray(values.field("p").is_null())
+            s, n = _ranges(r)
+            if opened.any():
+                size = n[opened]
+                places.append(first[k] + np.repeat(s[opened] - np.cumsum(size) + size, size) + np.arange(size.sum()))
+            for b, size, path in zip((first[k] + s[~opened]).tolist(), n[~opened].tolist(), p[~opened].tolist()):
+                e = min(b + size + WINDOW - 1, int(first[k + 1]))
+                digest = hashlib.sha256(b" ".join([held[x:y] for x, y in zip(starts[b:e].tolist(), ends[b:e].tolist())])).digest()
+                read.append((path, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:16], "little", signed=True)))
+        if places:
+            at = np.concatenate(places)
             doc_id, place = _owners(batch, first, at)
-            yield pa.RecordBatch.from_arrays([pa.array(grams(words[k], WINDOW, k)[at].view(np.int64)) for k in range(2)] + [pa.array(doc_id), pa.array(place)], names=["h", "h2", "doc_id", "at"])
+            h = [grams(words[k], WINDOW, k)[at].view(np.int64) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(at), np.int32)), pa.array(h[0]), pa.array(h[1]), pa.array(doc_id), pa.array(place)], names=["kind", "h", "h2", "x", "at"])
+        if read:
+            p, a, b = (pa.array(c, pa.int64()) for c in zip(*read))
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(read), np.int32)), p, a, b, pa.array(np.zeros(len(read), np.int32))], names=["kind", "h", "h2", "x", "at"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, ranges): the words that stay."""
     for batch in chunks(batches):
         data, bounds = raw(batch.column(1))
         starts, ends, first = spans(data, bounds)
@@ -130,7 +184,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gone_counts = np.zeros(batch.num_rows, np.int64)
         for k in range(batch.num_rows):
             b, e = int(first[k]), int(first[k + 1])
-            s, n = _ranges(batch.column(2), k)
+            s, n = _ranges(_list(batch.column(2), k)[0])
             stays = np.ones(e - b, bool)
             if len(s):
                 edge = np.zeros(e - b + 1, np.int64)
@@ -143,39 +197,98 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(gone_counts), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """Of docs (doc_id, text) with unique ids: doc_id and the packed ranges (start << 20 | windows) of repeated windows."""
-    spark = docs.sparkSession
-    counted = docs.mapInArrow(_counted, _COUNTED).groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("a"), F.max("seg").alias("b"))
-    anchors = Staged(counted.where("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("branching")), "anchors")
+def _heads(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the distinct edges that stand twice or more: the paths by their first edge (seg, seg2, first, c, windows), and of each edge
+    the head of its path (seg, seg2, head, head2)."""
+    left = kinds.where(f"after0 = after1 AND after0 <> {_BOUND}").select("seg", "seg2", F.col("after0").alias("to"), "n")
+    right = kinds.where(f"before0 = before1 AND before0 <> {_BOUND}").select(F.col("seg").alias("to"), F.col("seg2").alias("to2"), F.col("before0").alias("seg"))
+    # Names of 64 bits may collide: only pairs that are alone on both sides count.
+    pairs = left.join(right, ["seg", "to"]).groupBy("to", "to2").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("seg", "seg2", "n")).alias("p")).where("k = 1")
+    pairs = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("to", "to2")).alias("t")).where("k = 1")
+    links = Staged(pairs.select(F.col("t.to").alias("seg"), F.col("t.to2").alias("seg2"), F.col("p.seg").alias("head"), F.col("p.seg2").alias("head2"), F.col("p.n").cast("long").alias("off")), "links")
+    for _ in range(_MOST_ROUNDS):
+        on = [F.col("a.head") == F.col("b.seg"), F.col("a.head2") == F.col("b.seg2")]
+        joined = links.df.alias("a").join(links.side().alias("b"), on, "left")
+        after = Staged(joined.select("a.seg", "a.seg2", F.coalesce("b.head", "a.head").alias("head"), F.coalesce("b.head2", "a.head2").alias("head2"), (F.col("a.off") + F.coalesce("b.off", F.lit(0))).alias("off"), F.col("b.seg").isNotNull().alias("moved")), "links")
+        links.drop()
+        links = after
+        if not links.df.where("moved").limit(1).count():
+            break
+    done = links.df.where("NOT moved")  # but for collisions, all
+    own = kinds.join(done, ["seg", "seg2"], "left").select("seg", "seg2", F.coalesce("head", "seg").alias("head"), F.coalesce("head2", "seg2").alias("head2"), F.coalesce("off", F.lit(0)).alias("off"), "n", "c", "first")
+    members = Staged(own, "members").df
+    paths = members.groupBy("head", "head2").agg(F.max(F.col("off") + F.col("n")).alias("windows"), F.min_by(F.struct("first", "c"), "off").alias("h"))
+    return paths.select(F.col("head").alias("seg"), F.col("head2").alias("seg2"), "h.first", "h.c", "windows"), members.select("seg", "seg2", "head", "head2")
+
+
+def _with_lists(docs: DataFrame, lists: Staged, name: str, how: str = "inner") -> DataFrame:
+    """docs (doc_id, text) with the list of each document; beyond a broadcast, only texts that may have one shuffle."""
+    if lists.small:
+        return docs.join(F.broadcast(lists.df), "doc_id", how)
+    ids = Staged(lists.df.select(F.xxhash64("doc_id").alias("h")), "listed")
+    tested = Bloom(ids).test(docs, F.xxhash64("doc_id"), "_listed")
+    met = tested.where("_listed").drop("_listed").join(lists.df, "doc_id", how)
+    return met if how == "inner" else met.unionByName(tested.where("NOT _listed").drop("_listed").withColumn(name, F.lit(None).cast(lists.schema[name].dataType)))
+
+
+def repeated_ranges(docs: DataFrame) -> Staged:
+    """Of docs (doc_id, text) with unique ids: doc_id and the packed ranges (start and windows) of repeated windows."""
+    spark, bits = docs.sparkSession, NAME_BITS
+    counted = docs.mapInArrow(task("spans", lambda x: _counted(x, bits)), _COUNTED).groupBy("anchor").agg(F.count(F.lit(1)).alias("stands"), F.min("seg").alias("a"), F.max("seg").alias("b"))
+    anchors = Staged(counted.where("stands > 1").select("anchor", "stands", (F.col("a") != F.col("b")).alias("branching")), "anchors")
     release(spark)
-    found = docs.mapInArrow(_placed, _EDGE).join(anchors.df, "anchor").drop("anchor")
-    edges = Staged(found, "edges")
+    total = anchors.df.agg(F.coalesce(F.sum("stands"), F.lit(0))).first()[0]
+    found = with_unique(docs.mapInArrow(task("spans", lambda x: _placed(x, bits)), _EDGE), anchors, ["anchor"], "stands", total)
+    edges = Staged(found.drop("anchor", "stands"), "edges")
     anchors.drop()
     release(spark)
     place = F.struct("doc_id", "at")
-    firsts = edges.df.groupBy("seg", "seg2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    firsts = Staged(firsts, "edge-firsts")
-    marked = edges.df.join(firsts.side(), ["seg", "seg2"], "left").select("doc_id", "at", "n", "branching", F.coalesce(F.col("first") < place, F.lit(False)).alias("later"))
-    marked = Staged(marked.where("later OR branching"), "marked")
-    edges.drop()
-    firsts.drop()
+    ends = [f(c).alias(f"{c}{k}") for c in ("before", "after") for k, f in enumerate((F.min, F.max))]
+    kinds = edges.df.groupBy("seg", "seg2").agg(F.min(F.struct("doc_id", "at", "n")).alias("first"), F.count(F.lit(1)).alias("c"), F.max("branching").alias("branching"), *ends)
+    kinds = Staged(kinds.where("c > 1 OR branching").withColumn("n", F.col("first.n")).withColumn("first", F.struct("first.doc_id", "first.at")), "kinds")
+    release(spark)
+    paths, members = _heads(kinds.df.where("c > 1"))
+    paths = Staged(paths.withColumn("p", F.xxhash64("seg", "seg2")), "paths")
+    late = with_unique(edges.df.select("seg", "seg2", "doc_id", "at"), paths, ["seg", "seg2"], "c", total).where(F.col("first") < place)
+    late = Staged(late.select("doc_id", "at", "windows", "p"), "late")
     release(spark)
-    packed = (F.shiftleft(F.col("at").cast("long"), 20) + F.col("n")).alias("r")
-    by_doc = lambda df: df.groupBy("doc_id").agg(F.collect_list("r").alias("ranges"))
-    to_open = Staged(by_doc(marked.df.where("NOT later").select("doc_id", packed)), "to-open")
-    windows = Staged(docs.join(to_open.side(), "doc_id").select("doc_id", "text", "ranges").mapInArrow(_opened, _WINDOW), "windows")
-    to_open.drop()
+
+    asked = lambda df, p: df.select("doc_id", F.struct(F.col("r"), p.alias("p")).alias("q"))
+    first = lambda df, n: df.select("first.doc_id", _packed(F.col("first.at"), F.col(n)).alias("r"), *(["p"] if "p" in df.columns else []))
+    nothing = F.lit(None).cast("long")
+    to_read = late.df.select("doc_id", _packed(F.col("at"), F.col("windows")).alias("r"), "p").unionByName(first(paths.df, "windows"))
+    requests = asked(to_read, F.col("p")).unionByName(asked(first(kinds.df.where("branching"), "n"), nothing))
+    source = _read_sources(docs, requests)
+    different = source.df.where("kind = 1").groupBy("h").agg(*(f(c).alias(f"{c}{k}") for c in ("h2", "x") for k, f in enumerate((F.min, F.max)))).where("h20 <> h21 OR x0 <> x1")
+    different = Staged(different.select(F.col("h").alias("p")), "different")
+    windows, good = source.df.where("kind = 0"), late.df
+    if different.df.limit(1).count():  # names that collide: every edge of such a path is opened
+        odd = different.df.withColumn("odd", F.lit(True))
+        bad = members.withColumn("p", F.xxhash64("head", "head2")).join(odd, "p").select("seg", "seg2").distinct()
+        again = _read_sources(docs, asked(edges.df.join(bad, ["seg", "seg2"]).select("doc_id", _packed(F.col("at"), F.col("n")).alias("r")), nothing))
+        windows, good = windows.unionByName(again.df.where("kind = 0")).distinct(), late.df.join(odd.select("p"), "p", "left_anti")
+    edges.drop()
     release(spark)
-    # A window's first place is in the first edge of some kind, and all of those are open here.
-    first = windows.df.groupBy("h", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    first = Staged(first, "window-firsts")
-    late = windows.df.join(first.side(), ["h", "h2"]).where(F.col("first") < place).select("doc_id", (F.shiftleft(F.col("at").cast("long"), 20) + 1).alias("r"))
-    out = Staged(by_doc(marked.df.where("later").select("doc_id", packed).unionByName(late)), "ranges")
-    for table in (marked, windows, first):
+    # A window's first place is in the first edge of some kind, and all of those at branching anchors are open here.
+    windows = windows.select("h", "h2", F.col("x").alias("doc_id"), "at")
+    firsts = Staged(windows.groupBy("h", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1"), "window-firsts")
+    opened = firsts.df.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    more = with_unique(windows, firsts, ["h", "h2"], "c", opened).where(F.col("first") < place).select("doc_id", _packed(F.col("at"), F.lit(1)).alias("r"))
+    ranges = good.select("doc_id", _packed(F.col("at"), F.col("windows")).alias("r")).unionByName(more)
+    out = Staged(ranges.groupBy("doc_id").agg(F.collect_list("r").alias("ranges")), "ranges")
+    for table in (kinds, paths, late, source, different, firsts):
         table.drop()
     release(spark)
-    return out.side()
+    return out
+
+
+def _read_sources(docs: DataFrame, requests: DataFrame) -> Staged:
+    """What _sources finds for requests (doc_id, q), of which a document has no more than its windows are."""
+    lists = Staged(requests.groupBy("doc_id").agg(F.collect_list("q").alias("asked")), "asked")
+    release(docs.sparkSession)
+    out = Staged(_with_lists(docs, lists, "asked").select("doc_id", "text", "asked").mapInArrow(task("spans", _sources), _FOUND), "sources")
+    lists.drop()
+    return out
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,35 +296,38 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A word goes if a window over it has the words of one that starts earlier: in a smaller id, or before in the same
     text. Null and empty texts, and those of fewer than 20 words, lose nothing. Null ids come first and rows that share
-    an id follow each other by text. Other columns are ignored; an empty table gives no rows.
+    an id follow each other by text, equal texts in any order. Other columns are ignored, whatever their names; texts may have any
+    length; an empty table gives no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows, own = unique_rows(rows)
-    done = rows.join(repeated_ranges(rows), "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(_cut, _CUT)
+    done = _with_lists(rows, repeated_ranges(rows), "ranges", "left").select("doc_id", "text", "ranges").mapInArrow(task("spans", _cut), _CUT)
     return done if own is None else done.withColumnRenamed("doc_id", "_n").join(own, "_n").select("doc_id", "n_words", "n_removed", "kept")
 
 
 _CUT = "doc_id long, n_words long, n_removed long, kept string"
 
 
-def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """The rows of docs without the words that cut_repeats removes, and without texts that lose all their words.
 
-    A text that loses words becomes the rest joined by one space, and its length column follows; others stay as they
-    are.
+    A text that loses words becomes the rest joined by one space, and its length column, if docs has one, follows; others
+    stay as they are, null ones too. Order, ties, lengths and empty tables are as in cut_repeats; all other columns stay, whatever
+    their names.
     """
     prepare(docs.sparkSession)
-    n, distinct = docs.agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
-    rows = docs.withColumn("_n", F.col(id_col).cast("long"))
-    if n != distinct:
-        rows = Staged(slots(docs.withColumn("_all", F.lit(0)), "_all", [id_col, text_col], "_n").drop("_all"), "numbered").df
-    key = rows.select(F.col("_n").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ranges = repeated_ranges(key).select(F.col("doc_id").alias("_n"), F.col("ranges").alias("_ranges"))
-    joined = rows.join(ranges, "_n", "left").select(F.col("_n"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col("_ranges"), *docs.columns)
     names = docs.columns
-    text_at, length_at = docs.columns.index(text_col), docs.columns.index(length_col)
+    number, all_rows = fresh(names, "_n", "_all")
+    n, distinct = docs.agg(F.count(F.lit(1)), F.count_distinct(F.col(f"`{id_col}`"))).first()
+    rows = docs.withColumn(number, F.col(f"`{id_col}`").cast("long"))
+    if n != distinct:
+        rows = Staged(slots(docs.withColumn(all_rows, F.lit(0)), all_rows, [id_col, text_col], number).drop(all_rows), "numbered").df
+    own = F.struct(*(F.col(f"`{c}`") for c in names)).alias("own")
+    rows = rows.select(F.col(number).alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), own)
+    joined = _with_lists(rows, repeated_ranges(rows.select("doc_id", "text")), "ranges", "left").select("doc_id", "text", "ranges", *(F.col("own").getField(c).alias(f"own{k}") for k, c in enumerate(names)))
+    text_at, length_at = names.index(text_col), names.index(length_col) if length_col in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -220,12 +336,11 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             cut = pa.array(gone > 0)
             columns = batch.columns[3:]
             columns[text_at] = pc.if_else(cut, done.column(3).cast(columns[text_at].type), columns[text_at])
-            columns[length_at] = pc.if_else(cut, pc.utf8_length(done.column(3)).cast(columns[length_at].type), columns[length_at])
+            if length_at is not None:
+                columns[length_at] = pc.if_else(cut, pc.utf8_length(done.column(3)).cast(columns[length_at].type), columns[length_at])
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array((gone == 0) | (gone < np.asarray(done.column(1)))))
 
-    schema = docs.schema
-
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(task("spans", run), docs.schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
