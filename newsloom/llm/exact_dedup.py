@@ -136,6 +136,31 @@ class Bloom:
         return tested.withColumn(out, F.coalesce(hit, F.lit(False))).drop(hash_, seg, bits)
 
 
+def with_lists(docs: DataFrame, lists: Staged, key: str, how: str = "inner") -> DataFrame:
+    """docs, inner or left joined with a table of unique keys. Beyond a broadcast, only rows that may have an entry shuffle."""
+    if lists.small:
+        return docs.join(F.broadcast(lists.df), key, how)
+    names = Staged(lists.df.select(F.xxhash64(key).alias("h")), "listed")
+    hit = fresh([*docs.columns, *lists.schema.names], "_listed")[0]
+    tested = Bloom(names).test(docs, F.xxhash64(key), hit)
+    met = tested.where(hit).drop(hit).join(lists.df, key, how)
+    if how == "inner":
+        return met
+    return met.unionByName(tested.where(~F.col(hit)).drop(hit).withColumns({f.name: F.lit(None).cast(f.dataType) for f in lists.schema if f.name != key}))
+
+
+def without(rows: DataFrame, key: str, gone: Staged) -> DataFrame:
+    """rows but those whose key is in the only column of `gone`. Beyond a broadcast, only rows that may be there shuffle."""
+    out = gone.schema.names[0]
+    same = F.col(f"`{key}`") == F.col(out)
+    if gone.small:
+        return rows.join(F.broadcast(gone.df), same, "left_anti")
+    hit = fresh([*rows.columns, out], "_hit")[0]
+    hashed = Staged(gone.df.select(F.xxhash64(out).alias("h")), "removed-hashes")
+    tested = Bloom(hashed).test(rows, F.xxhash64(f"`{key}`"), hit)
+    return tested.where(~F.col(hit)).unionByName(tested.where(hit).join(gone.df, same, "left_anti")).drop(hit)
+
+
 def _hash(sha: str) -> Column:
     return F.conv(F.hex(F.substring(sha, 1, 8)), 16, -10).cast("long")
 
@@ -191,15 +216,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     else:
         gone = Staged(decided.df.where("r <> keep_r").select(F.col("i").alias(out)), "removed")
         decided.drop()
-    same = F.col(f"`{key}`") == F.col(out)
-    if gone.small:
-        left = rows.join(F.broadcast(gone.df), same, "left_anti")
-    else:
-        hit = fresh([*rows.columns, out], "_hit")[0]
-        hashed = Staged(gone.df.select(F.xxhash64(out).alias("h")), "removed-hashes")
-        tested = Bloom(hashed).test(rows, F.xxhash64(f"`{key}`"), hit)
-        left = tested.where(~F.col(hit)).unionByName(tested.where(hit).join(gone.df, same, "left_anti"))
-    return left.select(*(F.col(f"`{c}`") for c in df.columns))
+    return without(rows, key, gone).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

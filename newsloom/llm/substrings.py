@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ._common import Staged, documents, fresh, prepare, release, task, with_unique
 from ._rows import unique_rows
-from .exact_dedup import Bloom
+from .exact_dedup import with_lists
 from .sharding import slots
 from ._words import chunks, grams, mix, raw, spans, word_hashes
 
@@ -221,16 +221,6 @@ def _heads(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
     return paths.select(F.col("head").alias("seg"), F.col("head2").alias("seg2"), "h.first", "h.c", "windows"), members.select("seg", "seg2", "head", "head2")
 
 
-def _with_lists(docs: DataFrame, lists: Staged, name: str, how: str = "inner") -> DataFrame:
-    """docs (doc_id, text) with the list of each document; beyond a broadcast, only texts that may have one shuffle."""
-    if lists.small:
-        return docs.join(F.broadcast(lists.df), "doc_id", how)
-    ids = Staged(lists.df.select(F.xxhash64("doc_id").alias("h")), "listed")
-    tested = Bloom(ids).test(docs, F.xxhash64("doc_id"), "_listed")
-    met = tested.where("_listed").drop("_listed").join(lists.df, "doc_id", how)
-    return met if how == "inner" else met.unionByName(tested.where("NOT _listed").drop("_listed").withColumn(name, F.lit(None).cast(lists.schema[name].dataType)))
-
-
 def repeated_ranges(docs: DataFrame) -> Staged:
     """Of docs (doc_id, text) with unique ids: doc_id and the packed ranges (start and windows) of repeated windows."""
     spark, bits = docs.sparkSession, NAME_BITS
@@ -286,7 +276,7 @@ def _read_sources(docs: DataFrame, requests: DataFrame) -> Staged:
     """What _sources finds for requests (doc_id, q), of which a document has no more than its windows are."""
     lists = Staged(requests.groupBy("doc_id").agg(F.collect_list("q").alias("asked")), "asked")
     release(docs.sparkSession)
-    out = Staged(_with_lists(docs, lists, "asked").select("doc_id", "text", "asked").mapInArrow(task("spans", _sources), _FOUND), "sources")
+    out = Staged(with_lists(docs, lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(task("spans", _sources), _FOUND), "sources")
     lists.drop()
     return out
 
@@ -303,7 +293,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     prepare(spark)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows, own = unique_rows(rows)
-    done = _with_lists(rows, repeated_ranges(rows), "ranges", "left").select("doc_id", "text", "ranges").mapInArrow(task("spans", _cut), _CUT)
+    done = with_lists(rows, repeated_ranges(rows), "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(task("spans", _cut), _CUT)
     return done if own is None else done.withColumnRenamed("doc_id", "_n").join(own, "_n").select("doc_id", "n_words", "n_removed", "kept")
 
 
@@ -326,7 +316,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rows = Staged(slots(docs.withColumn(all_rows, F.lit(0)), all_rows, [id_col, text_col], number).drop(all_rows), "numbered").df
     own = F.struct(*(F.col(f"`{c}`") for c in names)).alias("own")
     rows = rows.select(F.col(number).alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), own)
-    joined = _with_lists(rows, repeated_ranges(rows.select("doc_id", "text")), "ranges", "left").select("doc_id", "text", "ranges", *(F.col("own").getField(c).alias(f"own{k}") for k, c in enumerate(names)))
+    joined = with_lists(rows, repeated_ranges(rows.select("doc_id", "text")), "doc_id", "left").select("doc_id", "text", "ranges", *(F.col("own").getField(c).alias(f"own{k}") for k, c in enumerate(names)))
     text_at, length_at = names.index(text_col), names.index(length_col) if length_col in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -60,9 +60,40 @@ def families(seed, n, size):
     return [(5 * i + 3, t) for i, t in enumerate(rows)]
 
 
-def test_prefix_shortens_to_the_recall():
-    assert jj.prefix_length(0.9999) == 4
-    assert jj.prefix_length(0.3) > 4 > jj.prefix_length(0.999999)
+def test_prefixes_shorten_to_the_recall_and_leave_crowds_alone():
+    missed = lambda depth: np.prod(1 - 0.8 ** depth.astype(float), axis=1)
+    alone = np.ones((1, jj.TREES, 4), int)
+    depth = jj.chosen_depths(alone)
+    assert set(depth[0]) == {4, 5} and missed(depth)[0] <= 1e-4 < missed(depth + (np.arange(jj.TREES) == 0))[0] * 1.5
+    assert jj.chosen_depths(alone, recall=0.5).min() == 6 and jj.chosen_depths(alone, recall=0.999999).min() == 3
+    crowded = alone.copy()
+    crowded[0, :5] = [10_000, 9_000, 8_000, 100]
+    depth = jj.chosen_depths(crowded)
+    assert (depth[0, :5] == 6).all() and (depth[0, 5:] <= 5).all() and (depth[0, 5:] <= 4).any() and missed(depth)[0] <= 1e-4
+    crowded[:] = [10_000, 9_000, 8_000, 7_000]
+    assert missed(jj.chosen_depths(crowded))[0] <= 1e-4
+    # Whether a few partners are there changes nothing.
+    few = alone.copy()
+    few[0, ::2] = [5, 4, 3, 2]
+    assert np.array_equal(jj.chosen_depths(few), jj.chosen_depths(alone))
+
+
+@pytest.mark.parametrize("rows_in_a_range", [400_000, 50])
+def test_sorted_tries_have_the_nodes_of_all_prefixes(spark, monkeypatch, rows_in_a_range):
+    monkeypatch.setattr(jj, "_TRIE_ROWS", rows_in_a_range)
+    rng = np.random.default_rng(5)
+    data = [(k, rng.integers(0, 3, jj.TREES * jj.DEPTH).astype("<u4").tobytes()) for k in range(120)]
+    trie, nodes = jj.forest_nodes(spark.createDataFrame(data, "id long, signature binary"), len(data))
+    counts, labels = {}, {}
+    for k, s in data:
+        for t in range(jj.TREES):
+            labels[k, t] = s[24 * t : 24 * t + 24]
+            for d in range(jj.LEAST, jj.DEPTH + 1):
+                counts[t, labels[k, t][: 4 * d]] = counts.get((t, labels[k, t][: 4 * d]), 0) + 1
+    got = {(r.id, r.tree): (bytes(r.label), r.s3, r.s4, r.s5, r.s6) for r in trie.df.collect()}
+    want = {(k, t): (x, *(counts[t, x[: 4 * d]] for d in range(3, 7))) for (k, t), x in labels.items() if counts[t, x[:12]] > 1}
+    assert got == want
+    assert nodes.df.count() > 0
 
 
 def test_query_equals_brute_force(spark, sf):
@@ -121,3 +152,23 @@ def test_components(spark):
         root[hi] = lo
     want = {x: find(x) for x in root if find(x) != x}
     assert got == want
+
+
+def test_bands_lose_no_pair(spark, small, monkeypatch):
+    """A large family of sets of many sizes, of which only some bands meet."""
+    monkeypatch.setattr(jj, "FAMILY_BLOCK", 6)
+    monkeypatch.setattr("newsloom.llm._common.BROADCAST_BYTES", -1)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(words[: 40 + 9 * k])) for k in range(40)]
+    want = brute(rows)
+    assert read(jj.near_classes(small(rows))) == want and len({r[3] for r in want}) == 1
+
+
+def test_names_that_clash_and_long_texts(spark, small):
+    text = " ".join(f"w{k}" for k in range(1_400_000))  # over 10 MB
+    rows = [(1, text), (2, text + " more"), (3, "other"), (-(2**63), None)]
+    docs = small(rows).selectExpr("*", *(f"{k} AS `{n}`" for k, n in enumerate(("_gone", "_number", "_all", "id", "_n", "_hit", "held"))))
+    assert read(jj.near_classes(docs)) == brute(rows)
+    got = jj.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r._gone, r.held) for r in got.collect()) == [(-(2**63), 0, 6), (1, 0, 6), (3, 0, 6)]
