@@ -2,8 +2,10 @@
 
 Documents of more than `capacity` tokens are cut into full pieces after a shorter first one. A full piece fills a
 sequence. The others are dealt to partitions of bounded size and packed by best-fit decreasing; dual-feasible
-functions give each partition a lower bound. A partition that meets its bound is certified and left alone. Those
-with a gap exchange documents with each other and are packed anew, and the better packing of the two stays.
+functions give each partition a lower bound. A partition that meets its bound is certified, and all its sequences but the
+emptiest are settled. One with a gap settles its full sequences only. The sequences that are not settled are dealt anew, to
+as few partitions of the same size as hold them, so that partitions exchange their documents, which are packed again; of the
+old and the new packing the one with fewer sequences stays. That goes on until one partition is left, or for ROUNDS rounds.
 """
 
 from __future__ import annotations
@@ -17,17 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Staged, documents, prepare
+from ._common import Staged, documents, prepare, task
 from ._tokens import encoder
 
 CAPACITY = 1024
-#: Pieces in a partition of the first round; those that exchange hold about EXCHANGED times as many.
+#: Pieces in a partition of any round.
 PART_PIECES = 8192
-EXCHANGED = 3
-ROUNDS = 3
+ROUNDS = 4
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_PACKED = f"{_PIECE}, part long, sequence_id long, offset long, part_bins long, part_bound long"
+_PACKED = f"{_PIECE}, part long, sequence_id long, offset long, part_bins long, part_bound long, loose boolean"
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
@@ -102,8 +103,11 @@ def _pack_part(table: pa.Table, step: int, capacity: int) -> pa.Table:
     else:
         used, sequence, offsets = before, table["sequence_id"].to_numpy(), table["offset"].to_numpy()
     n = len(sizes)
+    own = np.unique(sequence, return_inverse=True)[1]
+    room = capacity - np.bincount(own, sizes).astype(np.int64)
+    loose = (room > 0)[own] if used > bound else (room > 0)[own] & (own == room.argmax())
     keep = {c: table[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "part")}
-    return pa.table(keep | {"sequence_id": pa.array(sequence), "offset": pa.array(offsets), "part_bins": pa.array(np.full(n, used)), "part_bound": pa.array(np.full(n, bound))})
+    return pa.table(keep | {"sequence_id": pa.array(sequence), "offset": pa.array(offsets), "part_bins": pa.array(np.full(n, used)), "part_bound": pa.array(np.full(n, bound)), "loose": pa.array(loose)})
 
 
 def _packer(step: int, capacity: int):
@@ -114,28 +118,30 @@ def _packer(step: int, capacity: int):
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, rounds: int = ROUNDS) -> DataFrame:
-    """One row for each piece: its document, place there, sequence and offset, and the partition's bins and bound.
+    """One row for each piece: its document, place there, sequence and offset, and the bins and bound of the partition that it was
+    packed in last.
 
-    A null text counts as empty and is packed as its end id. Null or repeated ids are packed row by row. Other
-    columns are ignored; an empty table gives no rows.
+    A null text counts as empty and is packed as its end id. Null or repeated ids are packed row by row, equal lengths in any
+    order. Other columns are ignored, whatever their names; texts may have any length; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    pieces = Staged(rows.mapInArrow(lambda x: _pieces(x, tokenizer, end_id, capacity), _PIECE), "pieces").df
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
+    pieces = Staged(rows.mapInArrow(task("units", lambda x: _pieces(x, tokenizer, end_id, capacity)), _PIECE), "pieces").df
     row = F.monotonically_increasing_id()
-    full = pieces.where(F.col("length") == capacity).select("*", F.lit(None).cast("long").alias("part"), (-1 - row).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("part_bins"), F.lit(1).cast("long").alias("part_bound"))
+    one, result = F.lit(1).cast("long"), [c.split()[0] for c in _PACKED.split(", ")][:-1]
+    out = pieces.where(F.col("length") == capacity).select("*", F.lit(None).cast("long").alias("part"), (-1 - row).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), one.alias("part_bins"), one.alias("part_bound")).select(result)
     open_ = pieces.where(F.col("length") < capacity)
     parts = max(1, -(-open_.count() // part_pieces))
     open_ = open_.select("*", F.pmod(row, F.lit(parts)).alias("part"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    out = full
     for step in range(rounds + 1):
         packed = Staged(open_.groupBy("part").applyInArrow(_packer(step, capacity), _PACKED), f"packed{step}").df
-        gap = F.col("part_bins") > F.col("part_bound")
-        gaps = packed.where(gap).select("part").distinct().count() if step < rounds else 0
-        if gaps < 2:
-            return out.unionByName(packed)
-        out = out.unionByName(packed.where(~gap))
-        open_ = packed.where(gap).withColumn("part", F.pmod(F.xxhash64("part", F.lit(step)), F.lit(-(-gaps // EXCHANGED)))).drop("part_bins", "part_bound")
+        loose = packed.where("loose").count() if step < rounds and parts > 1 else 0
+        if not loose:
+            return out.unionByName(packed.select(result))
+        out = out.unionByName(packed.where("NOT loose").select(result))
+        parts = -(-loose // part_pieces)
+        # Whole sequences move, so that a partition can tell what its pieces took before.
+        open_ = packed.where("loose").withColumn("part", F.pmod(F.xxhash64("sequence_id", F.lit(step)), F.lit(parts))).drop("part_bins", "part_bound", "loose")
     raise AssertionError
 
 
