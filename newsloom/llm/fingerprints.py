@@ -7,15 +7,16 @@ place if they share the chosen k-mers and their order, which falls with edit dis
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import documents, parts_for, prepare
+from ._common import Staged, documents, parts_for, prepare, task
 
 K, HASHES, LENGTH = 8, 32, 2
 PART_INPUT_BYTES = 16 << 20
@@ -120,79 +121,90 @@ def _pair(text: str, after: str) -> tuple[np.ndarray, np.ndarray, str]:
 _PRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _print_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by partition number and, within it, in the texts' order, with the next partition's first row last."""
-    import hashlib
+_RESULT = [c.split()[0] for c in _PRINTED.split(", ")]
+_KINDS = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+#: What a task knows of its range: finished rows (kind 0), and its first (1) and last (2) row with their texts, for the ranges beside it.
+_RANGE = f"kind int, part int, {_PRINTED}, text string"
+FIRST, LAST = 1, 2
 
-    waiting, rows = None, []
-    part, over = None, False
+
+def _row(doc_id: int | None, text: str, after: str) -> tuple[tuple, np.ndarray]:
+    """All but near_next of a text's row, and its fingerprint."""
+    own, changed, other = _pair(text, after)
+    sha = hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest()
+    return (doc_id, len(text), sha, own.tobytes().hex(), changed.tobytes().hex(), float((own == changed).mean())), own
+
+
+def _print_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) in order: finishes all but the last, as the row after that is in the next range."""
+    part, rows = TaskContext.get().partitionId(), []
+
+    def border(kind: int, doc_id: int | None, text: str) -> tuple:
+        return (kind, part, doc_id, *[None] * (len(_RESULT) - 1), text)
 
     def emit() -> pa.RecordBatch:
-        cols = [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))]
+        kinds = (pa.int32(), pa.int32(), *_KINDS, pa.string())
+        out = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=["kind", "part", *_RESULT, "text"])
         rows.clear()
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-
-    def close(after: str, after_print: np.ndarray | None) -> np.ndarray:
-        doc_id, text = waiting
-        own, changed, other = _pair(text, after)
-        held = pending.pop("row", None)
-        if held is not None:  # the row before this one waits for this fingerprint
-            rows.append((*held[0], float((held[1] == own).mean())))
-        if after_print is not None:
-            rows.append((doc_id, len(text), *_texts(other, own, changed), float((own == after_print).mean())))
-        else:
-            pending["row"] = ((doc_id, len(text), *_texts(other, own, changed)), own)
-        return own
-
-    def _texts(other: str, own: np.ndarray, changed: np.ndarray) -> tuple:
-        return hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest(), own.tobytes().hex(), changed.tobytes().hex(), float((own == changed).mean())
-
-    pending: dict = {}
+        return out
+
+    last = pending = None  # the row before, and the one before that with its fingerprint, which waits for near_next
     for batch in batches:
-        for p, extra, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
             text = text or ""
-            if p != part:
-                part, over, waiting = p, False, None
-            if over:  # further rows of the next partition's first id
-                continue
-            if waiting is not None:
-                close(text, fingerprint(text) if extra else None)
-            over = bool(extra)
-            waiting = None if extra else (doc_id, text)
+            if last is None:
+                rows.append(border(FIRST, doc_id, text))
+            else:
+                done, own = _row(*last, text)
+                if pending:
+                    rows.append((0, part, *pending[0], float((pending[1] == own).mean()), None))
+                pending = done, own
+            last = doc_id, text
             if len(rows) >= 500:
                 yield emit()
-    if rows:
+    if last is not None:
+        if pending:
+            rows.append((0, part, *pending[0], float((pending[1] == fingerprint(last[1])).mean()), None))
+        rows.append(border(LAST, *last))
         yield emit()
 
 
+def _print_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, next text) in any order."""
+    for batch in batches:
+        rows = []
+        for doc_id, text, after in zip(*(c.to_pylist() for c in batch.columns)):
+            done, own = _row(doc_id, text, after)
+            rows.append((*done, float((own == fingerprint(after)).mean())))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _KINDS)], names=_RESULT)
+
+
 def fingerprint_chain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited text, and how near both that and the next document's are.
 
     The next document is the one with the next smaller id, after the smallest the largest; rows of one id follow each
-    other by text, and a null id counts as the smallest. A null text counts as empty; a text of fewer than K code points is one
-    k-mer, and empty texts equal each other. An only document is its own next. Other columns are ignored.
+    other by xxhash64 of the text, equal texts in any order, and a null id counts as the smallest. A null text counts as empty; a
+    text of fewer than K code points is one k-mer, and empty texts equal each other. An only document is its own next.
+    Other columns are ignored, whatever their names; texts may have any length, and take some 100 bytes of memory for each code
+    point; an empty table gives no rows.
+
+    Rows are sorted by range of id, hash and row number, so that no id gathers in one task. A task hands its first and last
+    row on, and those are joined with the ranges beside it.
     """
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOW)).alias("i"), F.col(id_col).cast("long").alias("own_id"), F.col(text_col).cast("string").alias("t"))
-    parts = parts_for(rows, PART_INPUT_BYTES)
-    cuts = rows.agg(F.percentile_approx("i", [q / parts for q in range(1, parts + 1)], 100 * parts).alias("q"), F.max("i").alias("m")).first()
-    if cuts.m is None:
-        return spark.createDataFrame([], _PRINTED)
-    # The largest ids of the partitions, in ascending order; all of them are ids of rows.
-    heads = np.array(sorted({*cuts.q, cuts.m}), np.int64)
-
-    @F.pandas_udf("array<long>")
-    def places(i: pd.Series) -> pd.Series:
-        """2 * partition, and for a partition's first id also 2 * (the one before) + 1."""
-        at = np.searchsorted(heads, i.to_numpy(np.int64))
-        first = heads[at] == i.to_numpy(np.int64)
-        return pd.Series([[2 * p, 2 * ((p + 1) % len(heads)) + 1] if f else [2 * p] for p, f in zip(at.tolist(), first.tolist())])
-
-    dealt = rows.withColumn("p", F.explode(places("i")))
-    dealt = dealt.select(F.shiftright("p", 1).alias("part"), F.col("p").bitwiseAND(F.lit(1)).cast("int").alias("extra"), "own_id", "t", "i")
-    dealt = dealt.repartition(len(heads), "part").sortWithinPartitions("part", "extra", F.desc("i"), F.asc_nulls_first("t"))
-    return dealt.select("part", "extra", "own_id", "t").mapInArrow(_print_parts, _PRINTED)
+    text = F.col(f"`{text_col}`").cast("string")
+    own_id = F.col(f"`{id_col}`").cast("long")
+    rows = docs.select(F.coalesce(own_id, F.lit(_LOW)).alias("i"), own_id.alias("own_id"), text.alias("t"), F.xxhash64(text).alias("h"))
+    order = [F.desc("i"), F.asc("h"), F.asc("row")]
+    dealt = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(parts_for(rows, PART_INPUT_BYTES), *order).sortWithinPartitions(*order)
+    ranges = Staged(dealt.select("own_id", "t").mapInArrow(task("prints", _print_range), _RANGE), "prints").df
+    firsts = Staged(ranges.where(F.col("kind") == FIRST).select("part", F.col("text").alias("after")), "first-rows").df
+    # A row of two numbers for each range; after the last comes the first.
+    numbers = firsts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy(F.lit(0)))).alias("next"))
+    lasts = ranges.where(F.col("kind") == LAST).select("part", "doc_id", "text").join(numbers, "part")
+    borders = lasts.join(firsts.withColumnRenamed("part", "next"), "next").select("doc_id", "text", "after").mapInArrow(task("prints", _print_borders), _PRINTED)
+    return ranges.where("kind = 0").select(_RESULT).unionByName(borders)
 
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
