@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Staged, documents, new_path, parts_for, prepare
+from ._common import Staged, documents, new_path, parts_for, prepare, task, with_unique
 from ._tokens import encoder
 
 MAGIC, VERSION = b"NLPF", 1
@@ -34,6 +34,8 @@ BLOCK = 1024
 PERCENTILE = 90
 FILE_INPUT_BYTES = 8 << 20
 END_ID = 2
+#: Files whose sums one task adds up.
+GROUP_FILES = 4096
 
 
 def _bit_length(x: np.ndarray) -> np.ndarray:
@@ -172,11 +174,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     """Encodes every whole text and writes token files in ascending id order under `path`.
 
     A null text counts as empty: such a document has the end id alone. A null id sorts first; repeated ids keep
-    one entry each, in any order among themselves. Other columns are ignored; an empty table leaves no ids.
+    one entry each, in any order among themselves, and may go on in the next file. Other columns are ignored, whatever their
+    names; texts may have any length; an empty table leaves no ids.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    pieces = rows.repartitionByRange(parts_for(rows, FILE_INPUT_BYTES), "i").sortWithinPartitions("i").mapInArrow(lambda x: _write_pieces(x, tokenizer, end_id), "piece binary")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
+    # A row number splits the rows of one id; files stay in order of id.
+    dealt = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(parts_for(rows, FILE_INPUT_BYTES), "i", "row").sortWithinPartitions("i", "row")
+    pieces = dealt.select("i", "t").mapInArrow(task("units", lambda x: _write_pieces(x, tokenizer, end_id)), "piece binary")
     pieces.select(F.col("piece").cast("string").alias("value")).write.text(path, lineSep="\n")
 
 
@@ -215,17 +220,31 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number)), pa.array(np.full(n, bounds[-1])), pa.array(ids, pa.int64()), pa.array(bounds[:-1]), pa.array(np.diff(bounds)), pa.array(sums, pa.int64())], names=["file_no", "file_tokens", "doc_id", "local_start", "n_tokens", "ids_crc32"])
 
 
+def _before(totals: DataFrame) -> DataFrame:
+    """file_no and base: the tokens of all files before it. Sums run within groups of files, and over groups."""
+    group = F.floor(F.col("file_no") / GROUP_FILES)
+    upto = lambda *by: Window.partitionBy(*by).orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
+    groups = totals.groupBy(group.alias("g")).agg(F.sum("tokens").alias("n"))
+    over = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)  # a row for each group of files
+    groups = groups.select("g", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("start"))
+    within = totals.withColumn("g", group).withColumn("own", F.coalesce(F.sum("tokens").over(upto("g")), F.lit(0)))
+    return within.join(groups, "g").select("file_no", (F.col("start") + F.col("own")).alias("base"), "docs")
+
+
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """Reads token files back: doc_id, start, n_tokens, ids_crc32 of every document."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a whole file
-    rows = Staged(files.mapInArrow(_digest, _DIGEST), "token-digests").df
-    prepare(spark)
-    totals = rows.groupBy("file_no").agg(F.max("file_tokens").alias("tokens"))
-    before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(F.col("file_no"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    # A row for each file, of which there is one in FILE_INPUT_BYTES of input.
-    return rows.join(F.broadcast(bases), "file_no").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")  # a row is a whole file
+    try:
+        rows = Staged(files.mapInArrow(task("files", _digest), _DIGEST), "token-digests").df
+    finally:
+        spark.conf.set(key, before)
+    totals = rows.groupBy("file_no").agg(F.max("file_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    bases = Staged(_before(Staged(totals, "file-totals").df), "file-bases")
+    found = with_unique(rows, bases, ["file_no"], "docs", rows.count())
+    return found.select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
