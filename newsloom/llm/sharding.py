@@ -3,7 +3,8 @@
 A key descends from region to rack to shard. At each level every child draws -ln(u) / weight, where u comes from a
 hash of the child's name and the key, and the least draw wins; a child's weight is that of its subtree. A change of
 weights moves keys only into or out of the subtrees whose weights change. A shard beyond the base topology stands in
-a region of its own, so that growth by one takes keys only into the new shard.
+a region of its own, so that growth by one, from the base's number on, takes keys only into the new shard. Below the base,
+growth also moves keys within the region whose weight grows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Staged, documents
+from ._common import Staged, documents, fresh
 
 REGIONS, RACKS = 4, 2
 SHARDS = 40
@@ -47,43 +48,48 @@ def _least(key: Column, children: list[tuple[Column, Column, Column]]) -> Column
 
 
 def assign(df: DataFrame, key: str, tree: Tree, out: str) -> DataFrame:
-    """df with the shard of each row in column `out`; a null key goes the way of the empty string.
+    """df, with all its columns, and the shard of each row in column `out`; a null key goes the way of the empty string.
 
-    Only the key and the tree decide, so repeated keys meet in one shard.
+    Only the key and the tree decide, so repeated keys meet in one shard; an empty table stays empty.
     """
+    at_region, at_rack, at_shards = fresh([*df.columns, out], "_g", "_r", "_s")
     k = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
     weights = [[sum(w for _, w in rack) for rack in region] for region in tree.regions]
     region = _least(k, [(F.lit(f"g{g}"), F.lit(sum(w)), F.lit(g)) for g, w in enumerate(weights)])
-    df = df.withColumn("_g", region)
+    rows, g = df.withColumn(at_region, region), F.col(at_region)
     table = F.array(*(F.array(*(F.lit(w) for w in own)) for own in weights))
     widest = max(map(len, weights))
-    rack = _least(k, [(F.concat(F.lit("g"), F.col("_g"), F.lit(f"r{r}")), F.get(F.get(table, F.col("_g")), F.lit(r)), F.lit(r)) for r in range(widest)])
-    df = df.withColumn("_r", rack)
+    rack = _least(k, [(F.concat(F.lit("g"), g, F.lit(f"r{r}")), F.get(F.get(table, g), F.lit(r)), F.lit(r)) for r in range(widest)])
+    rows = rows.withColumn(at_rack, rack)
     racks = [rack for region in tree.regions for rack in region]
     first = [sum(len(x) for x in tree.regions[:g]) for g in range(len(tree.regions))]
-    at = F.get(F.array(*map(F.lit, first)), F.col("_g")) + F.col("_r")
+    at = F.get(F.array(*map(F.lit, first)), g) + F.col(at_rack)
     shards = F.get(F.array(*(F.array(*(F.struct(F.lit(s).alias("s"), F.lit(w).alias("w")) for s, w in rack)) for rack in racks)), at)
-    df = df.withColumn("_s", shards)
+    rows = rows.withColumn(at_shards, shards)
     most = max(map(len, racks))
-    leaf = _least(k, [(F.concat(F.lit("s"), F.get("_s", F.lit(j))["s"]), F.get("_s", F.lit(j))["w"], F.get("_s", F.lit(j))["s"]) for j in range(most)])
-    return df.withColumn(out, leaf).drop("_g", "_r", "_s")
+    own = lambda j: F.get(at_shards, F.lit(j))
+    leaf = _least(k, [(F.concat(F.lit("s"), own(j)["s"]), own(j)["w"], own(j)["s"]) for j in range(most)])
+    return rows.withColumn(out, leaf).drop(at_region, at_rack, at_shards)
 
 
 def slots(df: DataFrame, shard: str, order: list[str], out: str) -> DataFrame:
-    """df with each row's place in its shard, from 0 without gaps, by `order`.
+    """df, with all its columns, and each row's place in its shard, from 0 without gaps, by `order`; nulls come first.
 
-    Rows are dealt by range of `order` with a row number last, so that a repeated key splits too. Places are counted
-    within a range and shard; a small table of counts has what the ranges before hold.
+    Rows are dealt by range of `order` with a row number last, so that a repeated key splits too, and rows alike in `order` stand
+    in any order. Places are counted within a range and shard; a small table of counts has what the ranges before hold. An
+    empty table stays empty.
     """
-    dealt = df.withColumn("_row", F.monotonically_increasing_id())
+    row, part, n, base, k = fresh([*df.columns, out], "_row", "_part", "_n", "_base", "_k")
+    dealt = df.withColumn(row, F.monotonically_increasing_id())
     ranges = max(1, -(-dealt.count() // RANGE_ROWS))
-    by = [*order, "_row"]
-    staged = Staged(dealt.repartitionByRange(ranges, *by).withColumn("_part", F.spark_partition_id()), "shard-ranges").df
-    counts = staged.groupBy("_part", shard).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = Staged(counts.select("_part", shard, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")), "shard-bases").side()
-    within = F.row_number().over(Window.partitionBy("_part", shard).orderBy(*by))
-    return staged.withColumn("_k", within).join(bases, ["_part", shard]).withColumn(out, F.col("_base") + F.col("_k") - 1).drop("_part", "_row", "_base", "_k")
+    by = [F.col(f"`{c}`") for c in (*order, row)]
+    staged = Staged(dealt.repartitionByRange(ranges, *by).withColumn(part, F.spark_partition_id()), "shard-ranges").df
+    counts = staged.groupBy(part, shard).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(shard).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    bases = Staged(counts.select(part, shard, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base)), "shard-bases").side()
+    within = F.row_number().over(Window.partitionBy(part, shard).orderBy(*by))
+    found = staged.withColumn(k, within).join(bases, [part, shard])
+    return found.select(*(F.col(f"`{c}`") for c in df.columns if c != out), (F.col(base) + F.col(k) - 1).alias(out))
 
 
 def op5_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

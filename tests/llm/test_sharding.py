@@ -1,3 +1,5 @@
+import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -53,3 +55,35 @@ def test_odd_rows(spark, monkeypatch):
         by[r.s].append(r.slot)
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
     assert sh.slots(sh.assign(df.limit(0), "k", sh.Tree.of(3), "s"), "s", ["k"], "slot").count() == 0
+
+
+def by_hand(tree, key):
+    """A key's way down the tree in plain Python."""
+
+    def least(children):
+        def draw(child):
+            u = (int(hashlib.md5(f"{child[0]}:{key}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+            return -math.log(u) / child[1]
+
+        return min(children, key=draw)[2]
+
+    weight = lambda rack: sum(w for _, w in rack)
+    g = least([(f"g{g}", sum(map(weight, region)), g) for g, region in enumerate(tree.regions)])
+    r = least([(f"g{g}r{r}", weight(rack), r) for r, rack in enumerate(tree.regions[g])])
+    return least([(f"s{s}", w, s) for s, w in tree.regions[g][r]])
+
+
+def test_placement_equals_plain_python(spark):
+    heavy = sh.Tree((((((0, 2.5), (1, 1.0)), ((2, 0.5),))), (((3, 1.0),), ((4, 3.0), (5, 1.0), (6, 0.25)))))
+    for tree in (sh.Tree.of(40), sh.Tree.of(41), sh.Tree.of(3, 3), heavy):
+        assert placed(spark, tree, 3000) == [by_hand(tree, k) for k in range(3000)]
+
+
+def test_names_that_clash(spark):
+    names = ["_g", "_r", "_s", "_row", "_part", "_n", "_base", "_k"]
+    df = spark.range(50).selectExpr("id", *(f"{k} AS {n}" for k, n in enumerate(names)))
+    out = sh.slots(sh.assign(df, "id", sh.Tree.of(40), "shard"), "shard", ["id"], "slot")
+    assert out.columns == ["id", *names, "shard", "slot"]
+    rows = out.collect()
+    assert len(rows) == 50 and all(tuple(r[1:9]) == tuple(range(8)) for r in rows)
+    assert {r.id: r.shard for r in rows} == dict(enumerate(placed(spark, sh.Tree.of(40), 50)))
