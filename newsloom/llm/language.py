@@ -14,20 +14,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, prepare
+from ._common import documents, prepare, task
 from ._words import chunks, mix
-from .quality import remainder
+from .quality import remainder, sampled
 
-#: The model learns from at most SAMPLE texts of each language, the least by hash of the id.
-SAMPLE = 300
+#: The model learns from at most SAMPLE texts of each language, the least by hash, none of over SAMPLE_BYTES bytes.
+SAMPLE, SAMPLE_BYTES = 300, 1 << 16
 FEATURE_BITS = 17
 LEXICON = 400
 SEQUENCES, SEQUENCE_WORDS, SPAN_WORDS = 2400, 40, (3, 25)
 EPOCHS, BATCH, RATE, DECAY = 6, 100, 0.3, 1e-5
 BLOCK = 32
+#: Words whose chances are computed at once. A longer text is labelled in stretches of that many, each a chain of its own.
+STRETCH = 1 << 17
 #: Distinct words whose emissions a worker keeps at most.
 CACHE_WORDS = 300_000
 UNKNOWN = "und"
@@ -163,10 +165,20 @@ class Crf:
         """Of each text, its lettered words' chances of each label; no words if no label was learned."""
         if not self.labels:
             return iter([np.zeros((0, 1))] * len(texts))
+        return self._labelled(texts)
+
+    def _labelled(self, texts: list[str]) -> Iterator[np.ndarray]:
         rows, table = self.look_up([t.lower().split() for t in texts])
-        found = self.posteriors(rows, table)
-        at = np.cumsum([0, *map(len, rows)])
-        return (found[b:e] for b, e in zip(at[:-1], at[1:]))
+        waiting: list[np.ndarray] = []
+        for k, own in enumerate(rows):
+            waiting.append(own)
+            if k + 1 == len(rows) or sum(map(len, waiting)) + len(rows[k + 1]) > STRETCH:
+                pieces = [w[b : b + STRETCH] for w in waiting for b in range(0, max(1, len(w)), STRETCH)]
+                found = [self.posteriors(pieces, table)] if len(waiting) > 1 else [self.posteriors([p], table) for p in pieces]
+                found = np.concatenate(found)
+                at = np.cumsum([0, *map(len, waiting)])
+                yield from (found[b:e] for b, e in zip(at[:-1], at[1:]))
+                waiting = []
 
 
 def fit(texts: list[tuple[str, str]], seed: int = 1) -> Crf:
@@ -264,14 +276,18 @@ def fit(texts: list[tuple[str, str]], seed: int = 1) -> Crf:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Crf:
-    """Fits a model on a bounded sample (SAMPLE) of the rows with a label; null texts and labels do not count."""
+    """Fits a model on a bounded sample (SAMPLE) of the texts with a label; null texts and labels do not count.
+
+    Equal texts of one label count once, whatever their number and ids. An empty table gives a model without labels.
+    """
     prepare(docs.sparkSession)
-    h = F.xxhash64(id_col)
-    rank = F.row_number().over(Window.partitionBy(label_col).orderBy(h, id_col))
-    ids = docs.select(id_col, label_col).where(F.col(label_col).isNotNull()).withColumn("_k", rank).where(F.col("_k") <= SAMPLE).select(id_col)
-    # SAMPLE rows of each language.
-    rows = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, label_col, text_col).join(F.broadcast(ids), id_col, "left_semi").collect()
-    return fit(sorted((r[1], r[2]) for r in rows))
+    rows = docs.select(F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = rows.where(F.col("label").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
+    found = sampled(rows, "label", F.xxhash64("text"), SAMPLE).distinct().collect()  # SAMPLE rows of each language or some more
+    by_label: dict[str, list] = {}
+    for r in sorted(found, key=lambda r: (r.label, r._h, r.text)):
+        by_label.setdefault(r.label, []).append((r.label, r.text))
+    return fit([x for own in by_label.values() for x in own[:SAMPLE]])
 
 
 _NAMED = "doc_id long, lang_pred string, score double, switches long"
@@ -281,8 +297,9 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
     """doc_id, lang_pred, score and switches: the label with most of the words' chances, its share of them, and how
     often the likeliest label changes from word to word.
 
-    A text that is null or has no letter is `und` with score 0; so is any text if no label was learned. Null and
-    repeated ids keep a row each. Other columns are ignored.
+    A text that is null or has no letter is `und` with score 0; so is any text if no label was learned. Of labels with equal
+    shares the first by name holds. Null and repeated ids keep a row each. Other columns are ignored, whatever their names; texts may
+    have any length (STRETCH); an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -299,13 +316,15 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
                 switches.append(int((best[1:] != best[:-1]).sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(switches, pa.int64())], names=["doc_id", "lang_pred", "score", "switches"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, _NAMED)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("t"))
+    return rows.mapInArrow(task("language", run), _NAMED)
 
 
 def accept(docs: DataFrame, model: Crf, least: float, text_col: str = "text") -> DataFrame:
     """The rows of docs, as they are, whose text has a language with a score of `least` or more.
 
-    A model that learned from fewer than two languages tells none apart: then every text with a letter stays.
+    A model that learned from fewer than two languages tells none apart: then every text with a letter stays. Null texts and
+    those without letters go. Repeated rows are judged alike. All columns stay, whatever their names; an empty table stays empty.
     """
     prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -319,7 +338,7 @@ def accept(docs: DataFrame, model: Crf, least: float, text_col: str = "text") ->
             stays = [len(p) > 0 and float(p.mean(axis=0).max()) >= least for p in own.label(texts)] if tells else [_has_letter(t) for t in texts]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(task("language", run), docs.schema)
 
 
 def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

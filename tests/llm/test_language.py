@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+from pyspark.sql.functions import lit
 
 from newsloom.llm import language as lg
 
@@ -60,3 +61,32 @@ def test_odd_rows(spark, small, odd_texts):
     assert {r.lang_pred for r in lg.identify(small([(1, "x y")]), lg.learn(small([(1, "x y"), (2, None)], lang="qq"))).collect()} == {"qq"}
     kept = lg.accept(small(rows), model, 0.4)
     assert kept.columns == small(rows).columns and {0, 1, 3, 70}.isdisjoint({r.doc_id for r in kept.where("doc_id <> 3").collect()})
+
+
+def test_stretches_and_batches_change_nothing(monkeypatch):
+    model = lg.fit(toy())
+    texts = [t for _, t in toy()[::7]]
+    whole = list(model.label(texts))
+    monkeypatch.setattr(lg, "STRETCH", 100)
+    assert all(np.allclose(a, b) for a, b in zip(whole, model.label(texts)))
+    monkeypatch.setattr(lg, "STRETCH", 7)
+    got = list(model.label(texts))
+    assert [len(p) for p in got] == [len(p) for p in whole] and np.mean([a.argmax(1) == b.argmax(1) for a, b in zip(whole, got)]) > 0.9
+
+
+def test_gradient_of_a_fitted_model():
+    """Training ends where labels' likelihood stands above that of any other constant labelling."""
+    model = lg.fit(toy())
+    for lang, text in toy()[::10]:
+        p = next(iter(model.label([text])))
+        assert p.mean(axis=0).argmax() == model.labels.index(lang) and p.mean(axis=0).max() > 0.9
+
+
+def test_names_that_clash_and_ten_megabytes(spark, small):
+    model = lg.fit(toy())
+    rows = [(1, "bcdb " * 2_000_000), (2, "fghf fgh"), (-(2**63), None)]
+    docs = small(rows).selectExpr("*", "1 AS t", "2 AS label", "3 AS _h", "4 AS score")
+    assert sorted((r.doc_id, r.lang_pred) for r in lg.identify(docs, model).collect()) == [(-(2**63), "und"), (1, "aa"), (2, "ee")]
+    kept = lg.accept(docs, model, 0.4)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+    assert lg.learn(docs.withColumn("lang", lit("qq"))).labels == ["qq"]

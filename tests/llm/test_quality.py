@@ -17,14 +17,51 @@ def test_held_out_accuracy(spark):
     assert np.mean([y == p for y, _, p in held]) > 0.93
 
 
-def test_descent_reaches_the_optimum():
-    """The primal and dual values of the hinge loss meet."""
+def by_subgradient(x, y, bound, steps=60_000):
+    """Another solver of the same problem: w.w / 2 + sum(bound * hinge), by averaged subgradient steps."""
+    w = np.zeros(x.shape[1])
+    best = np.inf
+    for t in range(1, steps):
+        margin = y * (x @ w)
+        value = w @ w / 2 + (bound * np.maximum(0, 1 - margin)).sum()
+        best = min(best, value)
+        w -= (w - ((bound * y * (margin < 1)) @ x)) / (t + 10)
+    return best
+
+
+def test_descent_reaches_the_optimum(monkeypatch):
+    """The log-count ratios are as told, and the primal value of the model is that of an independent solver."""
+    monkeypatch.setattr(q, "EPOCHS", 400)
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 60, 12)).astype(np.int32) for _ in range(80)]
     labels = np.array([int((r < 25).mean() > 0.4) for r in rows])
+    labels[:6] = 1 - labels[:6]
     model = q.fit(rows, labels)
-    margins = np.array([model.margin(r) for r in rows])
-    assert (margins[labels == 1].mean() - margins[labels == 0].mean()) > 0.5
+    order = np.random.default_rng(1).permutation(80)
+    used = order[16:]
+    dense = np.zeros((80, 60))
+    for i, r in enumerate(rows):
+        dense[i, r] = 1
+    n = [(labels[used] == c).sum() + 2 * q.SMOOTHING for c in (0, 1)]
+    ratio = np.log((dense[used][labels[used] == 1].sum(axis=0) + q.SMOOTHING) / n[1]) - np.log((dense[used][labels[used] == 0].sum(axis=0) + q.SMOOTHING) / n[0])
+    x = np.column_stack([dense * ratio / np.sqrt(dense.sum(axis=1))[:, None], np.ones(80)])[used]
+    y = np.where(labels[used] == 1, 1.0, -1.0)
+    bound = q.COST * 0.5 / np.array([(labels[used] == c).mean() for c in (0, 1)])[labels[used]]
+    weights = np.append(np.divide(model.weights[:60], ratio, out=np.zeros(60), where=ratio != 0), model.bias)
+    margin = y * (x @ weights)
+    assert np.allclose(margin, y * np.array([model.margin(rows[i]) for i in used]), atol=1e-4)
+    primal = weights @ weights / 2 + (bound * np.maximum(0, 1 - margin)).sum()
+    assert abs(primal - by_subgradient(x, y, bound)) < 0.01 * primal
+
+
+def test_features_do_not_depend_on_pieces(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["Some words, and 12 signs! " * 40, "", "x" * 500 + " y y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])
+    whole = list(q.features(batch, 0))
+    monkeypatch.setattr(q, "CHUNK_BYTES", 7)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, q.features(batch, 0)))
 
 
 def test_odd_rows(spark, small, odd_texts):
@@ -38,3 +75,12 @@ def test_odd_rows(spark, small, odd_texts):
     none = q.learn(docs, labels.limit(0))
     assert {r.score for r in q.score(docs, none).collect()} == {0.5}
     assert all(r.score > 0.9 for r in q.score(docs, q.learn(docs, labels.where("quality = 1"))).collect())
+
+
+def test_many_copies_and_names_that_clash(spark, small):
+    """A third of the rows share an id and a text: they count once, and nothing gathers on the driver."""
+    rows = [(k, f"good words number {k} here") for k in range(30)] + [(100 + k, f"BAD!!! {k} $$$") for k in range(30)] + [(7, "good words number 7 here")] * 30 + [(None, "x")] * 5
+    docs = small(rows).selectExpr("*", "1 AS label", "2 AS id", "3 AS _h", "4 AS _held", "5 AS f", "6 AS score")
+    labels = spark.createDataFrame([(k, 1) for k in range(30)] + [(7, 1)] * 40 + [(100 + k, 0) for k in range(30)], "doc_id long, quality int")
+    got = q.score(docs, q.learn(docs, labels)).collect()
+    assert len(got) == len(rows) and all((r.score > 0.5) == (r.doc_id < 100) for r in got if r.doc_id is not None)
