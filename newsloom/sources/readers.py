@@ -63,9 +63,12 @@ def of_levels(df: DataFrame, levels: list[str]) -> DataFrame:
 
 def labels(spark: SparkSession, path: str) -> DataFrame:
     """key, pertinent of a JSON map whose values are booleans or objects with one; null means not judged."""
-    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m"))
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,variant>").alias("m"))
     rows = whole.select(F.explode("m").alias("key", "v"))
-    value = F.coalesce(F.col("v").try_cast("boolean"), F.try_variant_get(F.try_parse_json("v"), "$.pertinent", "boolean"))
+    json = F.col("v")
+    own = F.coalesce(F.try_variant_get(json, "$.pertinent", "variant"), json)  # of an object its entry, else the value itself
+    # A string that reads like a boolean is none.
+    value = F.when(F.schema_of_variant(own) == "BOOLEAN", F.try_variant_get(own, "$", "boolean"))
     return rows.select("key", value.alias("pertinent")).where("pertinent IS NOT NULL")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import micros
 from ..operators.archive import backfill_bodies, backfill_dates, keep_first, last_seen, merge_scan
 from ..operators.aggregates import keep_newest
-from ..sources.writers import swap
+from ..sources.writers import recover, staged_path, swap
 
 
 def first_seen(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
@@ -42,22 +42,32 @@ def enrich(archive: DataFrame, batch: DataFrame, key: str = "key", seq: str = "s
     return backfill_dates(backfill_bodies(grown, batch, key, seq), batch, key, seq)
 
 
-def run_archive(stream: DataFrame, path: str, checkpoint: str, key: str = "key", seq: str = "seq"):
-    """A query that merges each micro-batch into the Parquet archive at `path`; a batch run twice changes nothing more."""
+#: Parts of an archive by hash of the key; a batch rewrites those that it touches.
+BUCKETS = 256
+
+
+def run_archive(stream: DataFrame, path: str, checkpoint: str, key: str = "key", seq: str = "seq", buckets: int = BUCKETS):
+    """A query that merges each micro-batch into the Parquet archive at `path`; a batch run twice changes nothing more.
+
+    The archive is partitioned by bucket, a hash of the key. A batch reads and rewrites only the buckets of its keys. They are staged
+    beside the archive and then moved; a run that broke off in between is ended before the next batch.
+    """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        recover(spark, path)
         names = [c for c in batch.columns if c != seq]
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-        if there:
-            after = enrich(spark.read.parquet(path).select(*names), batch, key, seq)
+        bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+        touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # `buckets` numbers at most
+        if not touched:
+            return
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            before = spark.read.schema(f"{batch.select(*names).schema.toDDL()}, bucket int").parquet(path).where(F.col("bucket").isin(touched)).select(*names)
         else:
-            after = enrich(keep_first(batch, key, seq).select(*names), batch, key, seq)
-        staged = f"{path.rstrip('/')}.next"
-        after.write.mode("overwrite").parquet(staged)
-        swap(spark, staged, path)
+            before = keep_first(batch, key, seq).select(*names)
+        enrich(before, batch, key, seq).withColumn("bucket", bucket).write.partitionBy("bucket").mode("overwrite").parquet(staged_path(path))
+        swap(spark, path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
