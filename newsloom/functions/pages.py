@@ -138,12 +138,12 @@ def parse_pages(df: DataFrame, html: str = "html", out: str = "page") -> DataFra
     return df.withColumn(out, _parse_udf(text(F.col(html))))
 
 
-def page_links(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """key, link, title: each page's http links with a title, once by normal form, the first of each."""
-    links = parse_pages(df, html).select(key, F.col(url).alias("_base"), F.posexplode("page.links").alias("_k", "_l"))
-    links = links.select(key, "_k", normalize_url(F.col("_l.href"), F.col("_base")).alias("link"), clean_text(F.col("_l.title")).alias("title"))
+def page_links(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, link, title and the columns `keep`: each page's http links with a title, once by normal form, the first of each."""
+    links = parse_pages(df, html).select(key, *keep, F.col(url).alias("_base"), F.posexplode("page.links").alias("_k", "_l"))
+    links = links.select(key, *keep, "_k", normalize_url(F.col("_l.href"), F.col("_base")).alias("link"), clean_text(F.col("_l.title")).alias("title"))
     first = F.min(F.struct("_k", "title"))
-    return links.where(F.col("link").rlike("^https?://") & (F.col("title") != "")).groupBy(key, "link").agg(first.alias("f")).select(key, "link", "f.title")
+    return links.where(F.col("link").rlike("^https?://") & (F.col("title") != "")).groupBy(key, *keep, "link").agg(first.alias("f")).select(key, *keep, "link", "f.title")
 
 
 def article_links(df: DataFrame, **names: str) -> DataFrame:
@@ -179,7 +179,7 @@ def outbound_domains(df: DataFrame, excluded: list[str], key: str = "page_id", u
     """key, domain: the distinct domains of other organisations that a page links to."""
     from .urls import domain, is_excluded, same_organisation
 
-    links = page_links(df, key, url, html).join(df.select(key, domain(F.col(url)).alias("_own")), key).withColumn("domain", domain(F.col("link")))
+    links = page_links(df.withColumn("_own", domain(F.col(url))), key, url, html, ("_own",)).withColumn("domain", domain(F.col("link")))
     return links.where((F.col("domain") != "") & ~is_excluded(F.col("domain"), excluded) & ~same_organisation(F.col("domain"), F.col("_own"))).select(key, "domain").distinct()
 
 

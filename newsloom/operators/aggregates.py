@@ -9,6 +9,8 @@ from ..functions.text import cut_to_word, text, title_words
 
 # Fixed value: the order of levels.
 LEVEL_RANK = {"A": 5, "B": 4, "C": 3, "D": 2, "E": 1, "F": 0}
+#: Rows that a section of a report shows.
+SECTION_ROWS = 50
 SUFFIX_LEAST, SUFFIX_MOST, SUFFIX_SHARE, SUFFIX_ROWS = 120, 4000, 0.2, 4
 
 
@@ -82,9 +84,9 @@ def shares(df: DataFrame, axis: str, name: str, n: str) -> DataFrame:
     return df.withColumns({"share": F.bround(100 * F.col(n) / F.sum(n).over(w), 1), "bar": F.bround(100 * F.col(n) / F.max(n).over(w), 1)})
 
 
-def grouped_in_order(df: DataFrame, group: str, rank: Column, fields: list[str], seq: str) -> DataFrame:
-    """group, n and the first rows' fields by seq as an array, groups by rank; bounded by TOP rows for each."""
-    firsts = top_by_group(df, group, [F.col(seq).asc()], 50)
+def grouped_in_order(df: DataFrame, group: str, rank: Column, fields: list[str], seq: str, n: int = SECTION_ROWS) -> DataFrame:
+    """group, n and the fields of its first rows by seq as an array, `n` rows at most, groups by rank."""
+    firsts = top_by_group(df, group, [F.col(seq).asc()], n)
     counted = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("_rank"))
     rows = firsts.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(seq, *(f for f in fields if f != seq)))).alias("rows"))
     return counted.join(rows, group).orderBy("_rank", group).drop("_rank")
@@ -107,24 +109,27 @@ def select_rows(df: DataFrame, levels: list[str] | None = None, places: list[str
     return df.where(ok)
 
 
+#: Steps between the lengths that a pass over the bodies tries; each divides the one before.
+_SUFFIX_STEPS = (256, 16, 1)
+
+
 def shared_suffix(df: DataFrame, group: str, body: str, least: int = SUFFIX_LEAST, most: int = SUFFIX_MOST) -> DataFrame:
     """group, suffix: the longest suffix that enough of a group's bodies share, from a word's start on.
 
-    A suffix of n + 1 characters that m bodies share implies one of n, so a binary search over the length finds the
-    longest: each round is one aggregation over all groups at once. Enough are SUFFIX_ROWS and SUFFIX_SHARE of the rows.
+    A suffix of n + 1 characters that m bodies share implies one of n, so each pass narrows the length down: it hashes every body's
+    suffixes at sixteen lengths, and one aggregation over all groups finds the longest that enough bodies share. Enough are
+    SUFFIX_ROWS and SUFFIX_SHARE of the rows; no suffix is longer than the group's shortest body.
     """
-    rows = df.select(F.col(group).alias("g"), text(F.col(body)).alias("b"))
-    bounds = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("b")).alias("shortest"))
-    state = bounds.select("g", F.greatest(F.lit(SUFFIX_ROWS), F.floor(F.col("n") * SUFFIX_SHARE).cast("int")).alias("need"), F.lit(0).alias("lo"), F.least(F.lit(most), "shortest").cast("int").alias("hi"))
-    rounds = max(1, most.bit_length())
-    mid = F.floor((F.col("lo") + F.col("hi") + 1) / 2).cast("int")
-    for _ in range(rounds):
-        probe = state.withColumn("mid", mid)
-        hits = rows.join(probe.select("g", "mid"), "g").groupBy("g", F.md5(F.expr("right(b, mid)")).alias("s")).agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max("c").alias("c"))
-        fits = F.coalesce(F.col("c"), F.lit(0)) >= F.col("need")
-        state = probe.join(hits, "g", "left").select("g", "need", F.when(fits, F.col("mid")).otherwise(F.col("lo")).alias("lo"), F.when(fits, F.col("hi")).otherwise(F.greatest("lo", F.col("mid") - 1)).alias("hi"))
-        state = state.sparkSession.createDataFrame(state.collect(), state.schema)  # one row for each group
-    found = rows.join(state.where(F.col("lo") >= least), "g").groupBy("g", F.expr("right(b, lo)").alias("s")).agg(F.count(F.lit(1)).alias("c"))
+    rows = df.select(F.col(group).alias("g"), F.right(text(F.col(body)), F.lit(most)).alias("b"))
+    bounds = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("b")).alias("hi"))
+    state = bounds.select("g", F.greatest(F.lit(SUFFIX_ROWS), F.floor(F.col("n") * SUFFIX_SHARE).cast("int")).alias("need"), F.lit(0).alias("lo"), "hi")
+    for step in _SUFFIX_STEPS:
+        lengths = F.filter(F.transform(F.sequence(F.lit(1), F.lit(-(-most // step) if step == _SUFFIX_STEPS[0] else 16)), lambda k: F.col("lo") + k * step), lambda n: n <= F.col("hi"))
+        tried = rows.join(state, "g").select("g", "need", "b", F.explode(lengths).alias("n"))
+        tried = tried.groupBy("g", "need", "n", F.md5(F.right("b", F.col("n"))).alias("s")).agg(F.count(F.lit(1)).alias("c"))
+        longest = tried.where(F.col("c") >= F.col("need")).groupBy("g").agg(F.max("n").alias("found"))
+        state = state.join(longest, "g", "left").select("g", "need", F.coalesce("found", "lo").alias("lo"), "hi")
+    found = rows.join(state.where(F.col("lo") >= least), "g").groupBy("g", F.right("b", F.col("lo")).alias("s")).agg(F.count(F.lit(1)).alias("c"))
     best = found.groupBy("g").agg(F.max(F.struct("c", "s")).alias("x")).select(F.col("g").alias(group), cut_to_word(F.col("x.s")).alias("suffix"))
     return best.where(F.length("suffix") >= least)
 

@@ -46,6 +46,24 @@ def test_terms_and_spans_equal_python(spark):
     assert 20 < hits < 380
 
 
+def test_many_terms_and_long_texts(spark):
+    """Two hundred terms, some of which begin others, and more matches than one run of sums holds."""
+    rng = random.Random(3)
+    bits = ["ab", "ba", "арест", "new", "york", "x1", "été", "c++"]
+    terms = TermSet.of("t", sorted({" ".join(rng.choice(bits) + rng.choice(["", "s", "ing"]) for _ in range(rng.randint(1, 3))) for _ in range(260)})[:200])
+    texts = [rng.choice([" ", ", "]).join(rng.choice(bits) + rng.choice(["", "s", "ing", "z"]) for _ in range(n)) for n in (0, 1, 50, 700, 3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", P.find_terms(F.col("t"), terms).alias("f"), P.spans(F.col("t"), TARGETS.stems).alias("s"), P.spans(F.col("t"), terms.stems).alias("all")).collect()
+    for r in rows:
+        assert r.f == by_python(r.t, terms)
+        assert [tuple(s) for s in r.s] == spans_by_python(r.t, TARGETS) and [tuple(s) for s in r.all] == spans_by_python(r.t, terms)
+    assert max(len(r.all) for r in rows) > 1000
+
+
+def test_related_rows_give_the_gap(spark):
+    df = spark.createDataFrame([(1, "ngo word jail"), (2, "jail" + " " * 200 + "ngo"), (3, "арест арест"), (4, "активист арестован")], "k int, t string")
+    assert sorted(map(tuple, P.related_rows(df, "k", "t", TARGETS, ACTIONS).collect())) == [(1, 6), (4, 1)]
+
+
 def test_stems_and_phrases(spark):
     df = spark.createDataFrame([("это арестованный москвич", "ru"), ("the ngo of congo", "en")], "t string, l string")
     got = df.select(P.find_with_stems(F.col("t"), F.col("l"), TERMS, [Stem("moscow", r"москв\w*", "ru"), Stem("ngo", "ngo")]).alias("f"), P.phrase_present(F.col("t"), "NGO").alias("p"), P.contains_any(F.col("t"), ["ngo"]).alias("c"), P.stem_match(F.col("t"), r"арест\w*").alias("s")).collect()
