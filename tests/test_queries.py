@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import compare  # noqa: E402
 
-from newsloom.plans import queries as plans  # noqa: E402
+from newsloom.plans import library as plans  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
