@@ -39,9 +39,20 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Bytes of files for each core below which a table may have fewer row groups than there are cores.
+SPREAD_BYTES = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores if its files are small; larger tables have row groups enough and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPREAD_BYTES else df
+
+
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as articles: the first line is the title."""
-    return read(spark, sf, "documents").select("doc_id", F.element_at(F.split("text", "\n", 2), 1).alias("title"), F.col("text").alias("body"), "source", F.col("lang").alias("language"))
+    return spread(read(spark, sf, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", F.element_at(F.split("text", "\n", 2), 1).alias("title"), F.col("text").alias("body"), "source", F.col("lang").alias("language"))
 
 
 #: Articles, and their title and body in normal form.
@@ -161,7 +172,7 @@ _TITLE = r"regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
 
 
 def _titled(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "pages").withColumn("title", F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1))
+    return spread(read(spark, sf, "pages")).withColumn("title", F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1))
 
 
 _SEGMENTS = r"list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '')"
@@ -187,12 +198,12 @@ def article_link_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    return H.page_links(read(spark, sf, "pages"))
+    return H.page_links(spread(read(spark, sf, "pages")))
 
 
 @query()
 def extract_body(spark: SparkSession, sf: str) -> DataFrame:
-    return H.extract_body(read(spark, sf, "pages")).select("page_id", "body", "published")
+    return H.extract_body(spread(read(spark, sf, "pages"))).select("page_id", "body", "published")
 
 
 @query()
