@@ -55,11 +55,43 @@ def test_stages_against_brute_force(spark, sf):
 
 
 def test_odd_rows(spark, small, odd_texts, sf):
-    rows = [(i, t) for i, t in enumerate(odd_texts)] + [(None, "some more words here"), (3, "a"), (3, "a")]
-    docs = small(rows, lang="en")
+    """Nulls, ties, repeated rows and ids, and extra columns with names that the operators use themselves."""
+    long = " ".join(f"word{k}" for k in range(60))
+    rows = [(i, t) for i, t in enumerate(odd_texts)] + [(None, "some more words here"), (3, "a"), (3, "a"), (50, long), (51, long + " end"), (52, "start " + long), (None, None)]
+    names = ("_row", "_gone", "_n", "_number", "_hit", "own", "id", "label", "ranges", "_h")
+    docs = small(rows, lang="en").selectExpr("*", *(f"{k} AS `{n}`" for k, n in enumerate(names)))
+    columns = docs.columns
+    lettered = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
     for name, stage in cp.STAGES:
-        docs = cp.Staged(stage(spark, docs, sf), "t").df
-        assert docs.count() > 0, name
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        after = stage(spark, docs, sf)
+        if name == "best_fit_packing":
+            pieces = after.collect()
+            assert sorted((r.doc_id for r in pieces if r.piece == 0), key=str) == sorted((i for i, _ in before), key=str)
+            break
+        assert after.columns == columns, name
+        docs = cp.Staged(after, "t").df
+        got = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+        assert all(tuple(r[n] for n in names) == tuple(range(len(names))) for r in docs.collect()), name
+        if name == "language_id":
+            assert got == sorted(lettered, key=str)
+        elif name == "exact_dedup":
+            assert got == sorted(((k, dict(enumerate(t for _, t in before)).get(n)) for n, (k, *_) in enumerate(before) if (n, k) in kept(before)), key=str)
+        elif name == "jaccard_join":
+            assert {i for i, _ in before} - {i for i, _ in got} == {51, 52}
+        else:
+            assert sorted(((i, t) for i, t in got), key=str) == got and len(got) <= len(before)
+
+
+def kept(rows):
+    """(place, id) of the rows that exact dedup keeps."""
+    best = {}
+    for n, (i, t) in enumerate(rows):
+        key = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        rank = (-len(t or ""), i is None, i or 0, n)
+        if key not in best or rank < best[key][0]:
+            best[key] = rank, (n, i)
+    return {x for _, x in best.values()}
 
 
 def test_no_rows(spark, small, sf):
