@@ -7,22 +7,21 @@ import re
 
 import numpy as np
 
-#: Distinct units a worker remembers in each of two generations.
-CACHE_UNITS = 400_000
+from ._common import keep
+
+#: Distinct units a worker remembers in each of two generations, of about 200 bytes each.
+CACHE_UNITS = 150_000
 #: Longer units are encoded but not remembered.
 CACHE_CHARS = 64
 #: Texts whose new units go to the library in one call.
 TEXTS = 25
 
 _ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
-_encoders: dict[str, "UnitEncoder"] = {}
 
 
 def encoder(path: str) -> "UnitEncoder":
-    """The worker's encoder for a tokenizer file; it outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = UnitEncoder(path)
-    return _encoders[path]
+    """The worker's encoder for a tokenizer file; it outlives a task, but not the operator's turn."""
+    return keep(f"units {path}", lambda: UnitEncoder(path))
 
 
 class UnitEncoder:

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, prepare
+from ._common import documents, keep, prepare, task
 
 #: Distinct words a worker remembers in each of two generations; longer ones are not remembered.
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
@@ -206,13 +206,9 @@ class WordCodec:
             self._old, self._young = young, {}
 
 
-_codecs: dict[str, WordCodec] = {}
-
-
 def codec(path: str) -> WordCodec:
-    if path not in _codecs:
-        _codecs[path] = WordCodec(path)
-    return _codecs[path]
+    """The worker's codec for a vocabulary file; it outlives a task, but not the operator's turn."""
+    return keep(f"words {path}", lambda: WordCodec(path))
 
 
 _CODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -236,7 +232,7 @@ def code_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(lambda x: _code(x, tokenizer), _CODED)
+    return rows.mapInArrow(task("codec", lambda x: _code(x, tokenizer)), _CODED)
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
