@@ -21,7 +21,7 @@ BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: A key that holds more than one in HOT of a table's rows is hot. There are HOT such keys at most.
 HOT = 1000
 #: A table is broadcast only if its written size is below this many bytes; read, it takes up to about eight times as much.
-BROADCAST_BYTES = 4 << 20
+BROADCAST_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> None:

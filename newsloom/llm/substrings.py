@@ -5,10 +5,10 @@ whose least 6-gram by hash (their anchor) stands at one place form an edge, so t
 
 1. Edges are counted by anchor. An anchor that stands once has no repeated window and goes.
 2. What is left is grouped to the graph's distinct edges, with their first source coordinate (doc_id, start), how often
-   they stand, and what they follow and are followed by. Where an edge is always followed by one other, which always
-   follows it, the path does not branch. Joins by pointer doubling compact such paths: every edge finds the head of its
-   path and its distance from there, in as many rounds as the logarithm of the longest path.
-3. A later occurrence of a path that stands twice or more lies wholly in a repeated span. The source words at all its
+   they stand, and what follows them. A join of edges with their successors finds where the path does not branch: an
+   edge is always followed by one other, which stands as often. The edges of such a path stand in a row wherever they do, in
+   the first document too, so that sums over its coordinates give each edge the head of its path and the path's length.
+3. A later occurrence of a path that stands twice or more lies wholly in a repeated span. Of long paths the source words at all
    coordinates are read again and compared by SHA-256; edges of a path whose words differ are opened as below.
 4. An anchor with several kinds of edges branches, and these may share windows. The first edge of each kind is opened into its
    windows, named by 128 bits, and source coordinates decide window by window.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import Staged, documents, fresh, prepare, release, task, with_unique
@@ -36,9 +36,9 @@ from ._words import chunks, grams, mix, raw, spans, word_hashes
 WINDOW, K = 20, 6
 #: Bits of each of an edge's two names. What is found does not depend on them; tests take fewer.
 NAME_BITS = 64
-#: More than the logarithm of any path's length; only hashes that collide could need more.
-_MOST_ROUNDS = 40
-#: What stands before a text's first edge and after its last.
+#: Windows of a path that is long: of more than 50 words.
+LONG = 32
+#: What stands after a text's last edge.
 _BOUND = 0
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -95,7 +95,7 @@ def _edges(words: list[np.ndarray], first: np.ndarray, bits: int) -> tuple[np.nd
 
 
 _COUNTED = "anchor long, seg long"
-_EDGE = "anchor long, seg long, seg2 long, before long, after long, doc_id long, at int, n int"
+_EDGE = "anchor long, seg long, seg2 long, after long, doc_id long, at int, n int"
 
 
 def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -115,10 +115,10 @@ def _placed(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
         anchor, seg, seg2, s, n = _edges(words, first, bits)
         own = np.searchsorted(first, s, "right") - 1
         same = own[1:] == own[:-1]  # the edges of a text follow each other without a gap
-        before, after = np.full(len(seg), _BOUND, np.int64), np.full(len(seg), _BOUND, np.int64)
-        before[1:][same], after[:-1][same] = seg[:-1][same], seg[1:][same]
+        after = np.full(len(seg), _BOUND, np.int64)
+        after[:-1][same] = seg[1:][same]
         doc_id, at = batch.column(0).to_numpy()[own], (s - first[own]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, seg, seg2, before, after, doc_id, at, n.astype(np.int32))], names=["anchor", "seg", "seg2", "before", "after", "doc_id", "at", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, seg, seg2, after, doc_id, at, n.astype(np.int32))], names=["anchor", "seg", "seg2", "after", "doc_id", "at", "n"])
 
 
 _RANGE_BITS = 32
@@ -200,25 +200,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _heads(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the distinct edges that stand twice or more: the paths by their first edge (seg, seg2, first, c, windows), and of each edge
     the head of its path (seg, seg2, head, head2)."""
-    left = kinds.where(f"after0 = after1 AND after0 <> {_BOUND}").select("seg", "seg2", F.col("after0").alias("to"), "n")
-    right = kinds.where(f"before0 = before1 AND before0 <> {_BOUND}").select(F.col("seg").alias("to"), F.col("seg2").alias("to2"), F.col("before0").alias("seg"))
-    # Names of 64 bits may collide: only pairs that are alone on both sides count.
-    pairs = left.join(right, ["seg", "to"]).groupBy("to", "to2").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("seg", "seg2", "n")).alias("p")).where("k = 1")
-    pairs = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("to", "to2")).alias("t")).where("k = 1")
-    links = Staged(pairs.select(F.col("t.to").alias("seg"), F.col("t.to2").alias("seg2"), F.col("p.seg").alias("head"), F.col("p.seg2").alias("head2"), F.col("p.n").cast("long").alias("off")), "links")
-    for _ in range(_MOST_ROUNDS):
-        on = [F.col("a.head") == F.col("b.seg"), F.col("a.head2") == F.col("b.seg2")]
-        joined = links.df.alias("a").join(links.side().alias("b"), on, "left")
-        after = Staged(joined.select("a.seg", "a.seg2", F.coalesce("b.head", "a.head").alias("head"), F.coalesce("b.head2", "a.head2").alias("head2"), (F.col("a.off") + F.coalesce("b.off", F.lit(0))).alias("off"), F.col("b.seg").isNotNull().alias("moved")), "links")
-        links.drop()
-        links = after
-        if not links.df.where("moved").limit(1).count():
-            break
-    done = links.df.where("NOT moved")  # but for collisions, all
-    own = kinds.join(done, ["seg", "seg2"], "left").select("seg", "seg2", F.coalesce("head", "seg").alias("head"), F.coalesce("head2", "seg2").alias("head2"), F.coalesce("off", F.lit(0)).alias("off"), "n", "c", "first")
-    members = Staged(own, "members").df
-    paths = members.groupBy("head", "head2").agg(F.max(F.col("off") + F.col("n")).alias("windows"), F.min_by(F.struct("first", "c"), "off").alias("h"))
-    return paths.select(F.col("head").alias("seg"), F.col("head2").alias("seg2"), "h.first", "h.c", "windows"), members.select("seg", "seg2", "head", "head2")
+    left = kinds.where(f"after0 = after1 AND after0 <> {_BOUND}").select(F.col("after0").alias("seg"), "c", F.col("first.doc_id").alias("doc_id"), (F.col("first.at") + F.col("n")).alias("at"))
+    right = kinds.select("seg", "c", "seg2", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"))
+    # Both stand equally often, and in a row where they stand first: then each follows the other wherever they stand.
+    follows = right.join(left, ["seg", "c", "doc_id", "at"]).select("seg", "seg2").distinct().withColumn("follows", F.lit(True))
+    own = kinds.join(follows, ["seg", "seg2"], "left").select("seg", "seg2", "first", "c", "n", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"), F.coalesce("follows", F.lit(False)).alias("follows"))
+    in_order = Window.partitionBy("doc_id").orderBy("at", "n", "seg", "seg2")
+    own = own.withColumn("path", F.sum(F.when(F.col("follows"), 0).otherwise(1)).over(in_order))
+    path = Window.partitionBy("doc_id", "path").orderBy("at", "n", "seg", "seg2")
+    whole = path.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = own.withColumns({"lead": F.first(F.struct("seg", "seg2", "at")).over(path), "windows": (F.max(F.col("at") + F.col("n")).over(whole))})
+    members = Staged(own.select("seg", "seg2", "first", "c", F.col("lead.seg").alias("head"), F.col("lead.seg2").alias("head2"), (F.col("windows") - F.col("lead.at")).alias("windows")), "members").df
+    return members.where("seg = head AND seg2 = head2").select("seg", "seg2", "first", "c", "windows"), members.select("seg", "seg2", "head", "head2")
 
 
 def repeated_ranges(docs: DataFrame) -> Staged:
@@ -233,8 +226,7 @@ def repeated_ranges(docs: DataFrame) -> Staged:
     anchors.drop()
     release(spark)
     place = F.struct("doc_id", "at")
-    ends = [f(c).alias(f"{c}{k}") for c in ("before", "after") for k, f in enumerate((F.min, F.max))]
-    kinds = edges.df.groupBy("seg", "seg2").agg(F.min(F.struct("doc_id", "at", "n")).alias("first"), F.count(F.lit(1)).alias("c"), F.max("branching").alias("branching"), *ends)
+    kinds = edges.df.groupBy("seg", "seg2").agg(F.min(F.struct("doc_id", "at", "n")).alias("first"), F.count(F.lit(1)).alias("c"), F.max("branching").alias("branching"), F.min("after").alias("after0"), F.max("after").alias("after1"))
     kinds = Staged(kinds.where("c > 1 OR branching").withColumn("n", F.col("first.n")).withColumn("first", F.struct("first.doc_id", "first.at")), "kinds")
     release(spark)
     paths, members = _heads(kinds.df.where("c > 1"))
@@ -246,7 +238,8 @@ def repeated_ranges(docs: DataFrame) -> Staged:
     asked = lambda df, p: df.select("doc_id", F.struct(F.col("r"), p.alias("p")).alias("q"))
     first = lambda df, n: df.select("first.doc_id", _packed(F.col("first.at"), F.col(n)).alias("r"), *(["p"] if "p" in df.columns else []))
     nothing = F.lit(None).cast("long")
-    to_read = late.df.select("doc_id", _packed(F.col("at"), F.col("windows")).alias("r"), "p").unionByName(first(paths.df, "windows"))
+    long = F.col("windows") >= LONG
+    to_read = late.df.where(long).select("doc_id", _packed(F.col("at"), F.col("windows")).alias("r"), "p").unionByName(first(paths.df.where(long & (F.col("c") > 1)), "windows"))
     requests = asked(to_read, F.col("p")).unionByName(asked(first(kinds.df.where("branching"), "n"), nothing))
     source = _read_sources(docs, requests)
     different = source.df.where("kind = 1").groupBy("h").agg(*(f(c).alias(f"{c}{k}") for c in ("h2", "x") for k, f in enumerate((F.min, F.max)))).where("h20 <> h21 OR x0 <> x1")

@@ -44,6 +44,8 @@ def test_random_passages(spark, small, monkeypatch, broadcast, bits):
     if not broadcast:
         monkeypatch.setattr("newsloom.llm._common.BROADCAST_BYTES", -1)
     monkeypatch.setattr(sub, "NAME_BITS", bits)
+    if bits < 64:
+        monkeypatch.setattr(sub, "LONG", 0)
     rng = random.Random(4)
     word = lambda: rng.choice("abcdefgh")
     passages = [[word() for _ in range(rng.randint(15, 60))] for _ in range(12)]
