@@ -147,14 +147,14 @@ class Staged:
         delete(self.spark, self.path)
 
 
-def with_unique(left: DataFrame, right: Staged, on: list[str], held: str, total: int, how: str = "inner") -> DataFrame:
+def with_unique(left: DataFrame, right: Staged, on: list[str], held: str, total: int, how: str = "inner", broadcast: bool = True) -> DataFrame:
     """Inner or left join of `left` with `right`, whose keys are unique and whose column `held` says how many rows of left have each.
 
-    A small right side is broadcast. Beyond that, hot keys (more than one in HOT of left's `total` rows) are broadcast, as
+    A small right side is broadcast, if it may be. Else hot keys (more than one in HOT of left's `total` rows) are broadcast, as
     there are HOT at most, and their rows are spread by their other columns, while the rest meet by key. So no key gathers
     more than that in one task.
     """
-    if right.small:
+    if broadcast and right.small:
         return left.join(F.broadcast(right.df), on, how)
     values = [c for c in right.schema.names if c not in on]
     limit, held_by = max(1, total // HOT), F.col(held)

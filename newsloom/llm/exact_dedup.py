@@ -136,9 +136,9 @@ class Bloom:
         return tested.withColumn(out, F.coalesce(hit, F.lit(False))).drop(hash_, seg, bits)
 
 
-def with_lists(docs: DataFrame, lists: Staged, key: str, how: str = "inner") -> DataFrame:
-    """docs, inner or left joined with a table of unique keys. Beyond a broadcast, only rows that may have an entry shuffle."""
-    if lists.small:
+def with_lists(docs: DataFrame, lists: Staged, key: str, how: str = "inner", broadcast: bool = True) -> DataFrame:
+    """docs, inner or left joined with a table of unique keys, by a broadcast if that may be; else only rows that may have an entry shuffle."""
+    if broadcast and lists.small:
         return docs.join(F.broadcast(lists.df), key, how)
     names = Staged(lists.df.select(F.xxhash64(key).alias("h")), "listed")
     hit = fresh([*docs.columns, *lists.schema.names], "_listed")[0]

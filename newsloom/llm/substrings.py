@@ -13,7 +13,8 @@ whose least 6-gram by hash (their anchor) stands at one place form an edge, so t
 4. An anchor with several kinds of edges branches, and these may share windows. The first edge of each kind is opened into its
    windows, named by 128 bits, and source coordinates decide window by window.
 
-Spans of both kinds are cut from the texts; overlapping spans merge.
+Spans of both kinds are cut from the texts; overlapping spans merge. No join here turns to a broadcast where tables are small, so that
+plans, and what they shuffle, are alike at every size.
 """
 
 from __future__ import annotations
@@ -221,7 +222,7 @@ def repeated_ranges(docs: DataFrame) -> Staged:
     anchors = Staged(counted.where("stands > 1").select("anchor", "stands", (F.col("a") != F.col("b")).alias("branching")), "anchors")
     release(spark)
     total = anchors.df.agg(F.coalesce(F.sum("stands"), F.lit(0))).first()[0]
-    found = with_unique(docs.mapInArrow(task("spans", lambda x: _placed(x, bits)), _EDGE), anchors, ["anchor"], "stands", total)
+    found = with_unique(docs.mapInArrow(task("spans", lambda x: _placed(x, bits)), _EDGE), anchors, ["anchor"], "stands", total, broadcast=False)
     edges = Staged(found.drop("anchor", "stands"), "edges")
     anchors.drop()
     release(spark)
@@ -231,7 +232,7 @@ def repeated_ranges(docs: DataFrame) -> Staged:
     release(spark)
     paths, members = _heads(kinds.df.where("c > 1"))
     paths = Staged(paths.withColumn("p", F.xxhash64("seg", "seg2")), "paths")
-    late = with_unique(edges.df.select("seg", "seg2", "doc_id", "at"), paths, ["seg", "seg2"], "c", total).where(F.col("first") < place)
+    late = with_unique(edges.df.select("seg", "seg2", "doc_id", "at"), paths, ["seg", "seg2"], "c", total, broadcast=False).where(F.col("first") < place)
     late = Staged(late.select("doc_id", "at", "windows", "p"), "late")
     release(spark)
 
@@ -256,7 +257,7 @@ def repeated_ranges(docs: DataFrame) -> Staged:
     windows = windows.select("h", "h2", F.col("x").alias("doc_id"), "at")
     firsts = Staged(windows.groupBy("h", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1"), "window-firsts")
     opened = firsts.df.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    more = with_unique(windows, firsts, ["h", "h2"], "c", opened).where(F.col("first") < place).select("doc_id", _packed(F.col("at"), F.lit(1)).alias("r"))
+    more = with_unique(windows, firsts, ["h", "h2"], "c", opened, broadcast=False).where(F.col("first") < place).select("doc_id", _packed(F.col("at"), F.lit(1)).alias("r"))
     ranges = good.select("doc_id", _packed(F.col("at"), F.col("windows")).alias("r")).unionByName(more)
     out = Staged(ranges.groupBy("doc_id").agg(F.collect_list("r").alias("ranges")), "ranges")
     for table in (kinds, paths, late, source, different, firsts):
@@ -269,7 +270,7 @@ def _read_sources(docs: DataFrame, requests: DataFrame) -> Staged:
     """What _sources finds for requests (doc_id, q), of which a document has no more than its windows are."""
     lists = Staged(requests.groupBy("doc_id").agg(F.collect_list("q").alias("asked")), "asked")
     release(docs.sparkSession)
-    out = Staged(with_lists(docs, lists, "doc_id").select("doc_id", "text", "asked").mapInArrow(task("spans", _sources), _FOUND), "sources")
+    out = Staged(with_lists(docs, lists, "doc_id", broadcast=False).select("doc_id", "text", "asked").mapInArrow(task("spans", _sources), _FOUND), "sources")
     lists.drop()
     return out
 
@@ -286,7 +287,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     prepare(spark)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows, own = unique_rows(rows)
-    done = with_lists(rows, repeated_ranges(rows), "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(task("spans", _cut), _CUT)
+    done = with_lists(rows, repeated_ranges(rows), "doc_id", "left", broadcast=False).select("doc_id", "text", "ranges").mapInArrow(task("spans", _cut), _CUT)
     return done if own is None else done.withColumnRenamed("doc_id", "_n").join(own, "_n").select("doc_id", "n_words", "n_removed", "kept")
 
 
@@ -309,7 +310,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rows = Staged(slots(docs.withColumn(all_rows, F.lit(0)), all_rows, [id_col, text_col], number).drop(all_rows), "numbered").df
     own = F.struct(*(F.col(f"`{c}`") for c in names)).alias("own")
     rows = rows.select(F.col(number).alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), own)
-    joined = with_lists(rows, repeated_ranges(rows.select("doc_id", "text")), "doc_id", "left").select("doc_id", "text", "ranges", *(F.col("own").getField(c).alias(f"own{k}") for k, c in enumerate(names)))
+    joined = with_lists(rows, repeated_ranges(rows.select("doc_id", "text")), "doc_id", "left", broadcast=False).select("doc_id", "text", "ranges", *(F.col("own").getField(c).alias(f"own{k}") for k, c in enumerate(names)))
     text_at, length_at = names.index(text_col), names.index(length_col) if length_col in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
