@@ -8,6 +8,7 @@ from .fingerprints import op8_order_minhash
 from .jaccard_join import op3_jaccard_join
 from .language import op4_language_crf
 from .packing import op7_best_fit_packing
+from .panes import OP11_SQL, op11_window_panes
 from .periodic_runs import op13_periodic_runs
 from .quality import op2_quality_nbsvm
 from .sharding import op5_shard_tree
@@ -27,9 +28,10 @@ def queries() -> dict:
         "op8_order_minhash": op8_order_minhash,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_window_panes": op11_window_panes,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL, "op10_substring_dedup": OP10_SQL}
+    return {"op9_exact_dedup": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op11_window_panes": OP11_SQL}
