@@ -172,6 +172,8 @@ def pane_revisions(rows: DataFrame, batches: int = BATCHES, shards: int = SHARDS
         ("spark.sql.shuffle.partitions", str(partitions)),
         ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"),
         ("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"),
+        ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),  # small stores need no space in advance
+        ("spark.sql.streaming.stateStore.unloadOnCommit", "true"),  # the next start may place a shard elsewhere
         ("spark.sql.streaming.noDataMicroBatches.enabled", "false"),
     ):
         session.conf.set(name, value)
