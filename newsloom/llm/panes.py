@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from ._common import _fs, delete, new_path, prepare
+from ._common import Staged, _fs, delete, new_path, prepare
 from ._words import mix
 
 #: Hours from the end of a pane's hour to its being due, and to its end.
@@ -156,20 +156,22 @@ def pane_revisions(rows: DataFrame, batches: int = BATCHES, shards: int = SHARDS
     spark = rows.sparkSession
     prepare(spark)
     top = new_path(spark, "panes")
-    greatest = {r["batch"]: r["w"] for r in rows.groupBy("batch").agg(F.max("hour").alias("w")).collect()}  # a row for each batch
+    kind, cents = F.coalesce("kind", F.lit("none")), F.coalesce(F.col("cents").cast("long"), F.lit(0))
+    own = Staged(rows.select(F.col("batch").cast("long"), F.col("hour").cast("long"), kind.alias("kind"), F.col("click_id").cast("long"), cents.alias("cents")), "dealt-rows")
+    greatest = {r["batch"]: r["w"] for r in own.df.groupBy("batch").agg(F.max("hour").alias("w")).collect()}  # a row for each batch
     w = [_NEVER]
     for k in range(batches - 1):
         w.append(max(w[-1], greatest.get(k, _NEVER)))
     control = _told(spark, w, shards)
     earlier = control.where("shard = 0").select("batch", "w")
-    own = rows.select(F.col("batch").cast("long"), F.col("hour").cast("long"), F.coalesce("kind", F.lit("none")).alias("kind"), F.col("click_id").cast("long"), F.coalesce(F.col("cents").cast("long"), F.lit(0)).alias("cents"))
-    own = own.join(F.broadcast(earlier), "batch").select("batch", "hour", "kind", "click_id", "cents", "w", F.lit(None).cast("int").alias("shard"), F.lit(False).alias("last"))
-    own.unionByName(control.coalesce(1)).withColumn("b", F.col("batch")).write.partitionBy("b").parquet(f"{top}/cut")
+    timed = own.df.join(F.broadcast(earlier), "batch").select("batch", "hour", "kind", "click_id", "cents", "w", F.lit(None).cast("int").alias("shard"), F.lit(False).alias("last"))
+    timed.unionByName(control.coalesce(1)).withColumn("b", F.col("batch")).write.partitionBy("b").parquet(f"{top}/cut")
+    own.drop()
 
     session = spark.newSession()  # the state store's settings hold for this query only
     partitions = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for name, value in (
-        ("spark.sql.shuffle.partitions", str(partitions)),
+        ("spark.sql.streaming.internal.stateStore.partitions", str(partitions)),  # the state has a width of its own: no more tasks than shards
         ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"),
         ("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"),
         ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),  # small stores need no space in advance
