@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bottom_k import op12_bottom_k
 from .bpe import op6_bpe_codec
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .fingerprints import op8_order_minhash
@@ -29,6 +30,7 @@ def queries() -> dict:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_window_panes": op11_window_panes,
+        "op12_bottom_k": op12_bottom_k,
         "op13_periodic_runs": op13_periodic_runs,
     }
 

@@ -216,8 +216,8 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def similar(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Whether each left and right set are at least THRESHOLD alike, by exact counts."""
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each left and right set share."""
     flat = np.concatenate([*left, *right])
     _, name = np.unique(flat, return_inverse=True)
     size = np.array([len(s) for s in left + right])
@@ -228,15 +228,21 @@ def similar(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     kinds, name = np.unique(name, return_inverse=True)
     order = np.argsort(name, kind="stable")
     name, own = name[order], own[order]
-    common = np.zeros((len(left), len(right)), np.float32)
+    counted = np.zeros((len(left), len(right)), np.float32)
     step = 4096
     for k in range(0, len(kinds), step):
         b, e = np.searchsorted(name, [k, k + step])
-        m = np.zeros((len(size), step), np.float32)
+        m = np.zeros((len(size), min(step, len(kinds) - k)), np.float32)
         m[own[b:e], name[b:e] - k] = 1
-        common += m[: len(left)] @ m[len(left) :].T
-    both = size[: len(left), None] + size[None, len(left) :] - common.astype(np.int64)
-    return common.astype(np.int64) * 10 >= both * round(THRESHOLD * 10)
+        counted += m[: len(left)] @ m[len(left) :].T
+    return counted.astype(np.int64)
+
+
+def similar(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Whether each left and right set are at least THRESHOLD alike, by exact counts."""
+    shared = common(left, right)
+    both = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :] - shared
+    return shared * 10 >= both * round(THRESHOLD * 10)
 
 
 _VERIFIED = "id long, links long, near long, root long"
