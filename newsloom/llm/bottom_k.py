@@ -257,8 +257,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = with_unique(named, Staged(sized, "component-rows"), ["copy_of"], "rows", total, "left")
     found = found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "copy_of").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
     if own is not None:
+        found = Staged(found, "components-by-number").df
         for c in ("doc_id", "component_id"):
-            found = found.withColumnRenamed(c, "_n").join(own.withColumnRenamed("doc_id", c), "_n").drop("_n")
+            found = found.withColumnRenamed(c, "_n")
+            counts = found.groupBy("_n").agg(F.count(F.lit(1)).alias("_held"))  # the rows of a large component share one number
+            found = with_unique(found, Staged(counts.join(own.withColumnRenamed("doc_id", c), "_n"), "named-rows"), ["_n"], "_held", total).drop("_n", "_held")
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -227,11 +227,11 @@ def _code(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.Reco
 def code_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes and decodes every whole text: its number of tokens and digests of ids and decoded text.
 
-    A null text counts as empty and has no tokens. Null and repeated ids keep a row each; other columns are ignored;
-    an empty table gives no rows.
+    A null text counts as empty and has no tokens. Null and repeated ids keep a row each; other columns are ignored,
+    whatever their names; texts may have any length; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
     return rows.mapInArrow(task("codec", lambda x: _code(x, tokenizer)), _CODED)
 
 

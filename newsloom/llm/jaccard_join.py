@@ -45,6 +45,8 @@ _LEVEL, _TRIE_ROWS = 4, 400_000
 #: for the estimate's error, four standard deviations.
 NEAR, LINK = 0.85, 0.45
 NODE_BLOCK, FAMILY_BLOCK = 4096, 512
+#: Shingles in a block of sets: long sets make smaller blocks.
+BLOCK_SHINGLES = 1 << 21
 
 _rng = np.random.default_rng(31_337)
 _XOR = _rng.integers(1, 2**63, TREES * DEPTH, np.uint64)[:, None]
@@ -291,10 +293,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows, own = unique_rows(rows)
     found = _near_classes(rows.select(F.col("doc_id").alias("id"), "text"))
+    if own is not None:
+        found = Staged(found, "classes-by-number").df
     if own is None:
         return found
+    total = found.count()
     for c in ("doc_id", "copy_of", "class_id"):
-        found = found.withColumnRenamed(c, "_n").join(own.withColumnRenamed("doc_id", c), "_n").drop("_n")
+        found = found.withColumnRenamed(c, "_n")
+        counts = found.groupBy("_n").agg(F.count(F.lit(1)).alias("_held"))  # the rows of a large class share one number
+        names = Staged(counts.join(own.withColumnRenamed("doc_id", c), "_n"), "named-rows")
+        found = with_unique(found, names, ["_n"], "_held", total).drop("_n", "_held")
     return found.select("doc_id", "copy_of", "copies", "class_id", "n_links", "n_near")
 
 
@@ -331,10 +339,11 @@ def _blocks(members: DataFrame, total: int) -> DataFrame:
     A family of one block is one group. In larger ones, sets go by band: sizes of neighbouring bands differ by the
     threshold or more, so that a set meets its own band and the next on either side, and no similar pair is lost.
     """
-    band = F.when(F.col("held") <= FAMILY_BLOCK, 0).otherwise(F.floor(F.log(F.col("n")) / -math.log(THRESHOLD) + 1e-9)).cast("long")
+    band = F.when((F.col("held") <= FAMILY_BLOCK) & (F.col("shingles") <= BLOCK_SHINGLES), 0).otherwise(F.floor(F.log(F.col("n")) / -math.log(THRESHOLD) + 1e-9)).cast("long")
     members = Staged(members.withColumn("band", band), "banded")
-    counts = members.df.groupBy("family", "band").agg(F.count(F.lit(1)).alias("c"))
-    blocks = Staged(counts.select("family", "band", F.ceil(F.col("c") / FAMILY_BLOCK).cast("int").alias("b"), "c"), "blocks")
+    counts = members.df.groupBy("family", "band").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    blocks = F.ceil(F.greatest(F.col("c") / FAMILY_BLOCK, F.col("s") / BLOCK_SHINGLES)).cast("int")
+    blocks = Staged(counts.select("family", "band", blocks.alias("b"), "c"), "blocks")
     found = with_unique(members.df, blocks, ["family", "band"], "c", total)
     for k, name in ((-1, "above"), (1, "below")):  # the number of blocks of the next band up, and down
         shifted = blocks.df.select("family", (F.col("band") + k).alias("band"), F.col("b").alias(name), F.col("c").alias(f"c_{name}"))
@@ -394,9 +403,10 @@ def _near_classes(rows: DataFrame) -> DataFrame:
 
     members_of = family.unionByName(family.select(F.col("root").alias("node"), "root").distinct())
     family = Staged(members_of, "families")
-    sized = Staged(family.df.groupBy("root").agg(F.count(F.lit(1)).alias("held")), "family-sizes")
-    held = with_unique(family.df, sized, ["root"], "held", count).select(F.col("node").alias("id"), F.col("root").alias("family"), "held")
-    held = Staged(_blocks(held.join(reps.df.select("id", "size", "n"), "id"), count), "family-members")
+    held = Staged(family.df.withColumnRenamed("node", "id").join(reps.df.select("id", "size", "n"), "id"), "families-with-sizes")
+    sized = Staged(held.df.groupBy("root").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("shingles")), "family-sizes")
+    held = with_unique(held.df, sized, ["root"], "held", count).withColumnRenamed("root", "family")
+    held = Staged(_blocks(held, count), "family-members")
     texts = with_lists(rows, held, "id").select("id", "text", "size", "family", "block", "meets")
     sets = texts.mapInArrow(task("forest", _shingled), _SETS).withColumn("m", F.explode("meets"))
     sets = sets.select("id", "size", "family", "block", "shingles", "m.i", "m.j")

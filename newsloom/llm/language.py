@@ -17,18 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, prepare, task
+from ._common import Staged, documents, prepare, task
 from ._words import chunks, mix
-from .quality import remainder, sampled
+from .quality import bounded, remainder, sampled
 
-#: The model learns from at most SAMPLE texts of each language, the least by hash, none of over SAMPLE_BYTES bytes.
-SAMPLE, SAMPLE_BYTES = 300, 1 << 16
+#: The model learns from at most SAMPLE texts of each language, the least by hash, as far as they take SAMPLE_TOTAL bytes over all
+#: languages. A text of over SAMPLE_BYTES bytes is learned from in PIECES pieces, evenly spread from its start to its end.
+SAMPLE, SAMPLE_BYTES, SAMPLE_TOTAL, PIECES = 300, 1 << 16, 1 << 26, 16
+#: The languages of most rows are learned, so many at most; texts with rarer labels are not learned from.
+LANGUAGES = 64
 FEATURE_BITS = 17
 LEXICON = 400
 SEQUENCES, SEQUENCE_WORDS, SPAN_WORDS = 2400, 40, (3, 25)
 EPOCHS, BATCH, RATE, DECAY = 6, 100, 0.3, 1e-5
 BLOCK = 32
-#: Words whose chances are computed at once. A longer text is labelled in stretches of that many, each a chain of its own.
+#: Words whose chances are computed at once. A longer text is labelled in stretches of that many, which hand their messages on.
 STRETCH = 1 << 17
 #: Distinct words whose emissions a worker keeps at most.
 CACHE_WORDS = 300_000
@@ -106,15 +109,13 @@ class Crf:
         rows = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in texts]
         return [r[r >= 0] for r in rows], table
 
-    def posteriors(self, texts: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-        """Each word's chances of each label, all texts in a row, by forward-backward within each text."""
+    def _blocked(self, texts: list[np.ndarray], table: np.ndarray) -> tuple:
+        """Texts in blocks of words, and each block's transfer matrix."""
         k = len(self.labels)
         size = np.array([len(t) for t in texts])
         blocks = -(-size // BLOCK)
         first = np.concatenate(([0], np.cumsum(blocks)))
         total = int(first[-1])
-        if not total:
-            return np.zeros((0, k))
         rows = np.full(total * BLOCK, -1)
         place = np.concatenate([first[d] * BLOCK + np.arange(n) for d, n in enumerate(size)])
         rows[place] = np.concatenate(texts)
@@ -127,10 +128,47 @@ class Crf:
             after = (transfer.reshape(-1, k) @ step).reshape(total, k, k) * e[:, t, None, :]
             after /= after.max(axis=(1, 2), keepdims=True)
             transfer = np.where(real[:, t, None, None], after, transfer)
+        return blocks, first, place, real, e, step, transfer
+
+    def _into(self) -> np.ndarray:
+        """What comes into a text's first word. The first step too passes `step`: this times step is the wanted prior."""
+        step = np.exp(self.transition - self.transition.max())
+        return np.exp(self.start - self.start.max()) @ np.linalg.pinv(step)
+
+    def _long(self, text: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """The chances in a text of any length: stretches hand on what comes into them from before and from behind."""
+        pieces = [text[b : b + STRETCH] for b in range(0, len(text), STRETCH)]
+        passed = []
+        for piece in pieces:
+            through = np.eye(len(self.labels))
+            for own in self._blocked([piece], table)[-1]:
+                through = through @ own
+                through /= through.max()
+            passed.append(through)
+        into, behind = [self._into()], [np.ones(len(self.labels))]
+        for through in passed[:-1]:
+            x = into[-1] @ through
+            into.append(x / np.abs(x).max())
+        for through in passed[:0:-1]:
+            x = through @ behind[-1]
+            behind.append(x / x.max())
+        return np.concatenate([self.posteriors([p], table, x, y) for p, x, y in zip(pieces, into, behind[::-1])])
+
+    def posteriors(self, texts: list[np.ndarray], table: np.ndarray, before: np.ndarray | None = None, after_all: np.ndarray | None = None) -> np.ndarray:
+        """Each word's chances of each label, all texts in a row, by forward-backward within each text.
+
+        What comes into the texts from before and from behind is a text's beginning and end, if it isn't told.
+        """
+        k = len(self.labels)
+        if not sum(map(len, texts)):
+            return np.zeros((0, k))
+        blocks, first, place, real, e, step, transfer = self._blocked(texts, table)
+        total = int(first[-1])
         # Along each text: what comes into its blocks from before and from behind.
         into, behind = np.empty((total, k)), np.ones((total, k))
-        # The first step too passes `step`: a start is chosen so that start @ step is the wanted prior.
-        start = np.exp(self.start - self.start.max()) @ np.linalg.pinv(step)
+        if after_all is not None:
+            behind[first[1:][blocks > 0] - 1] = after_all
+        start = self._into() if before is None else before
         for j in range(int(blocks.max())):
             own = np.flatnonzero(blocks > j)
             at = first[own] + j
@@ -172,10 +210,8 @@ class Crf:
         waiting: list[np.ndarray] = []
         for k, own in enumerate(rows):
             waiting.append(own)
-            if k + 1 == len(rows) or sum(map(len, waiting)) + len(rows[k + 1]) > STRETCH:
-                pieces = [w[b : b + STRETCH] for w in waiting for b in range(0, max(1, len(w)), STRETCH)]
-                found = [self.posteriors(pieces, table)] if len(waiting) > 1 else [self.posteriors([p], table) for p in pieces]
-                found = np.concatenate(found)
+            if k + 1 == len(rows) or sum(map(len, waiting)) + len(rows[k + 1]) > STRETCH:  # a long text waits alone
+                found = self._long(own, table) if len(own) > STRETCH else self.posteriors(waiting, table)
                 at = np.cumsum([0, *map(len, waiting)])
                 yield from (found[b:e] for b, e in zip(at[:-1], at[1:]))
                 waiting = []
@@ -276,18 +312,24 @@ def fit(texts: list[tuple[str, str]], seed: int = 1) -> Crf:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Crf:
-    """Fits a model on a bounded sample (SAMPLE) of the texts with a label; null texts and labels do not count.
+    """Fits a model on a bounded sample (SAMPLE, SAMPLE_TOTAL) of the texts with one of the LANGUAGES most frequent labels.
+
+    Null texts and labels do not count, and rarer labels are never predicted.
 
     Equal texts of one label count once, whatever their number and ids. An empty table gives a model without labels.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.where(F.col("label").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
-    found = sampled(rows, "label", F.xxhash64("text"), SAMPLE).distinct().collect()  # SAMPLE rows of each language or some more
-    by_label: dict[str, list] = {}
-    for r in sorted(found, key=lambda r: (r.label, r._h, r.text)):
-        by_label.setdefault(r.label, []).append((r.label, r.text))
-    return fit([x for own in by_label.values() for x in own[:SAMPLE]])
+    rows = docs.select(F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{text_col}`").cast("string").alias("text")).where("label IS NOT NULL AND text IS NOT NULL")
+    known = [r.label for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()]
+    size = SAMPLE_BYTES // (4 * PIECES)  # characters, of four bytes at most
+    piece = lambda k: F.substring("text", (1 + F.floor(k * (F.length("text") - size) / (PIECES - 1))).cast("int"), F.lit(size))
+    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece), " ")
+    rows = rows.where(F.col("label").isin(known)).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("text", F.when(F.octet_length("text") > SAMPLE_BYTES, spread).otherwise(F.col("text")))
+    found = Staged(sampled(rows, "label", F.col("h"), SAMPLE).drop("h").distinct(), "language-sample")  # SAMPLE rows of each language or some more
+    own = bounded(found, "label", "_h", "text", SAMPLE, SAMPLE_TOTAL)
+    found.drop()
+    return fit([(r.label, r.text) for r in own])
 
 
 _NAMED = "doc_id long, lang_pred string, score double, switches long"

@@ -8,7 +8,6 @@ on a fifth of the sample that the model has not seen, turns margins into scores.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +19,9 @@ from pyspark.sql import functions as F
 from ._common import Staged, documents, prepare, task, with_unique
 from ._words import CHUNK_BYTES, chunks, mix, raw, spans, word_hashes
 
-#: The model learns from at most SAMPLE labelled texts of each class, the least by hash, none of over SAMPLE_BYTES bytes.
-SAMPLE, SAMPLE_BYTES = 1500, 1 << 16
+#: The model learns from at most SAMPLE labelled texts of each class, the least by hash, of any length, as far as their n-grams
+#: take SAMPLE_BYTES over all classes.
+SAMPLE, SAMPLE_BYTES = 1500, 1 << 27
 WORD_BITS = 18
 COST, EPOCHS = 1.0, 12
 SMOOTHING = 1.0
@@ -145,106 +145,45 @@ def sampled(rows: DataFrame, label: str, h, per: int) -> DataFrame:
     return with_unique(rows, counts, [label], "_held", total).where(F.col("_h") * F.col("_kinds") < 1.2 * per + 4 * per**0.5).drop("_held", "_kinds")
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fits a model on a bounded sample (SAMPLE) of labelled texts; labels other than 0 and 1, and without a document, do not count.
+def bounded(found: Staged, label: str, h: str, value: str, per: int, most: int) -> list:
+    """The rows of a small staged sample of least hash: `per` of each label, and `most` bytes of `value` over all labels, though one of each label at least.
 
-    Labels and texts meet by id. Equal texts of one label count once, whatever their number; null texts count as empty.
+    The driver gets labels, hashes and sizes, and then the rows that these choose.
     """
-    prepare(docs.sparkSession)
-    named = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where("label IN (0, 1) AND id IS NOT NULL").distinct()
-    ids = sampled(named, "label", F.xxhash64("id"), SAMPLE)  # 2 * SAMPLE rows or some more
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    found = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "id").select("label", "text").distinct()
-    by_label: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in found.mapInArrow(task("quality", _features), "label int, f binary").collect():
-        by_label[r.label].append(bytes(r.f))
-    own = [(f, label) for label, fs in by_label.items() for f in sorted(fs, key=lambda f: (zlib.crc32(f), f))[:SAMPLE]]
-    return fit([np.frombuffer(f, np.int32) for f, _ in own], np.array([label for _, label in own], int))
-
-
-def score(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
-
-
-def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
-    """Labels are 0 and 1. Without rows of both classes, every score is the share of label 1 (a half, if no rows)."""
-    if not len(labels) or labels.min() == labels.max():
-        share = labels.mean() if len(labels) else 0.5
-        return Model(np.zeros(SIZE, np.float32), 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(rows))
-    held, used = order[: len(order) // 5], order[len(order) // 5 :]
-    if len(set(labels[used])) < 2 or len(set(labels[held])) < 2:
-        held = used = order
-    counts = np.full((2, SIZE), SMOOTHING)
-    for i in used:
-        counts[labels[i]][rows[i]] += 1
-    n = np.array([max(1, (labels[used] == c).sum()) for c in (0, 1)]) + 2 * SMOOTHING
-    ratio = np.log(counts[1] / n[1]) - np.log(counts[0] / n[0])
-    # Dual coordinate descent for the hinge loss; the bias is one more feature of value 1.
-    y = np.where(labels == 1, 1.0, -1.0)
-    values = [ratio[r] / np.sqrt(max(1, len(r))) for r in rows]
-    square = np.array([v @ v + 1 for v in values])
-    share = np.array([(labels[used] == c).mean() for c in (0, 1)])
-    bound = COST * 0.5 / share[labels]  # classes weigh alike
-    w, bias, alpha = np.zeros(SIZE), 0.0, np.zeros(len(rows))
-    for _ in range(EPOCHS):
-        for i in rng.permutation(used):
-            gradient = y[i] * (w[rows[i]] @ values[i] + bias) - 1
-            after = min(max(alpha[i] - gradient / square[i], 0.0), bound[i])
-            if after != alpha[i]:
-                w[rows[i]] += (after - alpha[i]) * y[i] * values[i]
-                bias += (after - alpha[i]) * y[i]
-                alpha[i] = after
-    model = Model((w * ratio).astype(np.float32), bias, 1.0, 0.0)
-    m = np.array([model.margin(rows[i]) for i in held])
-    t = labels[held].astype(float)
-    a, b = 1.0, 0.0
-    for _ in range(50):  # Newton steps of a logistic fit, a little regularised
-        p = 1 / (1 + np.exp(-np.clip(a * m + b, -30, 30)))
-        g = np.array([((p - t) * m).sum() + 1e-2 * a, (p - t).sum() + 1e-2 * b])
-        v = p * (1 - p)
-        h = np.array([[(v * m * m).sum() + 1e-2, (v * m).sum()], [(v * m).sum(), v.sum() + 1e-2]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-    model.slope, model.offset = max(float(a), 1e-3), float(b)
-    return model
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in features(batch, 1)], pa.binary())], names=["label", "f"])
-
-
-def remainder(doc_id, n: int):
-    """crc32 of the id as text, mod n; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
-
-
-def sampled(rows: DataFrame, label: str, h, per: int) -> DataFrame:
-    """The rows whose hash h is least in their label, with the hash as _h in [0, 1): of each label about `per` hashes or some
-    more, up to a fifth and four standard deviations.
-
-    A label's share follows from an estimate of its number of hashes, so no rows of a label have to meet.
-    """
-    rows = rows.withColumn("_h", F.pmod(h, F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    counts = Staged(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_held"), F.approx_count_distinct("_h", 0.03).alias("_kinds")), "labels")
-    total = counts.df.agg(F.coalesce(F.sum("_held"), F.lit(0))).first()[0]
-    return with_unique(rows, counts, [label], "_held", total).where(F.col("_h") * F.col("_kinds") < 1.2 * per + 4 * per**0.5).drop("_held", "_kinds")
+    by_label: dict = {}
+    for r in sorted(found.df.select(label, h, F.octet_length(value).alias("size")).collect(), key=lambda r: (r[0], r[1])):
+        by_label.setdefault(r[0], []).append((r[1], r[2]))
+    last = []
+    for name, own in by_label.items():
+        total, take = 0, 0
+        while take < min(per, len(own)) and (not take or total + own[take][1] <= most // len(by_label)):
+            total += own[take][1]
+            take += 1
+        last.append((name, own[take - 1][0]))
+    if not last:
+        return []
+    limits = found.spark.createDataFrame(last, found.df.select(label, F.col(h).alias("_last")).schema)
+    rows = found.df.join(F.broadcast(limits), label).where(F.col(h) <= F.col("_last")).drop("_last")
+    taken: dict = {}
+    for r in sorted(rows.collect(), key=lambda r: (r[label], r[h], r[value])):
+        taken.setdefault(r[label], []).append(r)
+    return [r for own in taken.values() for r in own[:per]]
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fits a model on a bounded sample (SAMPLE) of labelled texts; labels other than 0 and 1, and without a document, do not count.
+    """Fits a model on a bounded sample (SAMPLE, SAMPLE_BYTES) of labelled texts; labels other than 0 and 1, and without a document, do not count.
 
-    Labels and texts meet by id. Equal texts of one label count once, whatever their number; null texts count as empty.
+    Labels and texts meet by id. Equal texts of one label count once, whatever their number; null texts count as empty. Texts of
+    any length are learned from as a whole.
     """
     prepare(docs.sparkSession)
     named = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where("label IN (0, 1) AND id IS NOT NULL").distinct()
     ids = sampled(named, "label", F.xxhash64("id"), SAMPLE)  # 2 * SAMPLE rows or some more
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    found = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "id").select("label", "text").distinct()
-    got = found.mapInArrow(task("quality", _features), "label int, f binary").orderBy("label", F.xxhash64("f"), "f")
-    own = [r for label in (0, 1) for r in got.where(F.col("label") == label).limit(SAMPLE).collect()]
+    found = texts.join(F.broadcast(ids), "id").select("label", "text").distinct()
+    found = Staged(found.mapInArrow(task("quality", _features), "label int, f binary").withColumn("h", F.crc32("f")), "quality-sample")
+    own = bounded(found, "label", "h", "f", SAMPLE, SAMPLE_BYTES)
+    found.drop()
     return fit([np.frombuffer(r.f, np.int32) for r in own], np.array([r.label for r in own], int))
 
 

@@ -69,9 +69,29 @@ def test_stretches_and_batches_change_nothing(monkeypatch):
     whole = list(model.label(texts))
     monkeypatch.setattr(lg, "STRETCH", 100)
     assert all(np.allclose(a, b) for a, b in zip(whole, model.label(texts)))
-    monkeypatch.setattr(lg, "STRETCH", 7)
-    got = list(model.label(texts))
-    assert [len(p) for p in got] == [len(p) for p in whole] and np.mean([a.argmax(1) == b.argmax(1) for a, b in zip(whole, got)]) > 0.9
+    for size in (1, 7, 31, 32, 33):  # stretches hand their messages on
+        monkeypatch.setattr(lg, "STRETCH", size)
+        assert all(np.allclose(a, b, atol=1e-9) for a, b in zip(whole, model.label(texts), strict=True))
+
+
+def test_long_texts_are_learned_from(spark, small):
+    """Texts of 90 KB only, in two languages; a label that is not among the most frequent is not learned."""
+    texts = [(k, lang, " ".join([t] * 300)) for k, (lang, t) in enumerate(toy()[::6])]
+    assert min(len(t) for *_, t in texts) > lg.SAMPLE_BYTES
+    docs = small([(i, t) for i, _, t in texts]).drop("lang").join(spark.createDataFrame([(i, lang) for i, lang, _ in texts], "doc_id long, lang string"), "doc_id")
+    model = lg.learn(docs)
+    assert model.labels == ["aa", "ee"]
+    assert {(r.doc_id, r.lang_pred) for r in lg.identify(docs, model).collect()} == {(i, lang) for i, lang, _ in texts}
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lg, "LANGUAGES", 3)
+    monkeypatch.setattr(lg, "SAMPLE_TOTAL", 3000)
+    seen = []
+    monkeypatch.setattr(lg, "fit", seen.append)
+    rows = [(f"l{k % 9}" if k % 9 > 2 else f"l{k % 3}", f"text {k} " + "word " * (k % 70)) for k in range(900)]
+    lg.learn(spark.createDataFrame(rows, "lang string, text string").selectExpr("*", "1 AS doc_id"))
+    assert {x for x, _ in seen[0]} == {"l0", "l1", "l2"} and sum(len(t) for _, t in seen[0]) <= 3000
 
 
 def test_gradient_of_a_fitted_model():

@@ -84,3 +84,45 @@ def test_many_copies_and_names_that_clash(spark, small):
     labels = spark.createDataFrame([(k, 1) for k in range(30)] + [(7, 1)] * 40 + [(100 + k, 0) for k in range(30)], "doc_id long, quality int")
     got = q.score(docs, q.learn(docs, labels)).collect()
     assert len(got) == len(rows) and all((r.score > 0.5) == (r.doc_id < 100) for r in got if r.doc_id is not None)
+
+
+def test_long_texts_are_learned_from(spark, small, monkeypatch):
+    """Texts of 100 KB only; and a sample bounded by bytes keeps some of each class."""
+    rng = np.random.default_rng(3)
+    text = lambda kind: " ".join(f"{kind}{x}" for x in rng.integers(0, 5000, 17_000))
+    rows = [(k, text("good") if k % 2 else text("BAD!")) for k in range(24)]
+    docs, labels = small(rows), spark.createDataFrame([(k, k % 2) for k in range(24)], "doc_id long, quality int")
+    for most in (q.SAMPLE_BYTES, 400_000):
+        monkeypatch.setattr(q, "SAMPLE_BYTES", most)
+        got = q.score(docs, q.learn(docs, labels)).collect()
+        assert all((r.score > 0.5) == bool(r.doc_id % 2) for r in got)
+
+
+def test_features_by_brute_force():
+    """The numbers of a text's n-grams, one by one."""
+    import pyarrow as pa
+    from newsloom.llm._words import raw, spans, word_hashes
+
+    def kind(c):
+        signs = (".,;:", "!?", "'\"-", "|", "#", "$%", "&*", "<>", "/\\")
+        found = [7 + k for k, own in enumerate(signs) if c in own.encode()]
+        return found[0] if found else 0 if c in b" \t" else 1 if c in b"\n\x0b\x0c\r" else 5 if c > 127 else 2 if chr(c).islower() else 3 if chr(c).isupper() else 4 if chr(c).isdigit() else 6
+
+    for text in ("Hello, World 42!", "a a b", "", "x", "é|é #1 \n<b>"):
+        batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["t"])
+        kinds = [kind(c) for c in text.encode()]
+        want = set()
+        for n in range(1, 5):
+            for b in range(len(kinds) - n + 1):
+                code = 0
+                for x in kinds[b : b + n]:
+                    code = code * 16 + x
+                want.add(code + sum(16**m for m in range(1, n)))
+        data, bounds = raw(batch.column(0))
+        starts, ends, _ = spans(data, bounds)
+        w = [int(x) for x in word_hashes(data, starts, ends)[0]]
+        if any(x == y for x, y in zip(w, w[1:])):
+            want.add(q.SHAPES)
+        pairs = [int(q.mix(np.array([(x * 0x9E3779B97F4A7C15 + y) % 2**64], np.uint64))[0]) for x, y in zip(w, w[1:])]
+        want |= {q.SHAPES + 1 + (x >> (64 - q.WORD_BITS)) for x in [*w, *pairs]}
+        assert sorted(next(iter(q.features(batch, 0))).tolist()) == sorted(want)
