@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as R
@@ -19,6 +19,7 @@ from ..operators import evaluation as E
 from ..operators import facets as C
 from ..operators import matching as P
 from ..operators import scoring as S
+from ..operators import vocabulary_tables as V
 from ..operators.vocabulary import Stem, TermSet
 from ..sources import readers, writers
 from ..streaming import incremental as I
@@ -29,8 +30,10 @@ __all__ = ["oracle_sql", "queries"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share, or a local one in a local session."""
+    """A new path in the folder that all executors share, or a local one in a local session; a cluster without one is refused."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and (not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is unset: executors of a cluster need a folder that all of them share")
     return f"{shared or 'file://' + tempfile.mkdtemp(prefix='newsloom-')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -269,13 +272,13 @@ def lines_appended_and_rewritten(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _OLD = "SELECT CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 4 <> 0 THEN text END AS body, CASE WHEN doc_id % 3 = 0 THEN '2024' END AS date, doc_id FROM documents WHERE doc_id % 5 <> 0"
-_NEW = "SELECT CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 6 = 0 THEN text || ' more' ELSE text END AS body, CASE WHEN doc_id % 2 = 0 THEN '2025' END AS date, doc_id FROM documents WHERE doc_id % 7 <> 0"
+_NEW = "SELECT CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 6 = 0 THEN text || ' more' ELSE text END AS body, CASE WHEN doc_id % 2 = 0 THEN '2025' END AS date, doc_id FROM documents WHERE doc_id % 7 <> 0 OR doc_id % 5 = 0"
 
 
 def _old_and_new(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     docs, i = read(spark, sf, "documents"), F.col("doc_id")
     old = docs.where(i % 5 != 0).select(i.cast("string").alias("key"), F.when(i % 4 != 0, F.col("text")).alias("body"), F.when(i % 3 == 0, "2024").alias("date"))
-    new = docs.where(i % 7 != 0).select(i.cast("string").alias("key"), F.when(i % 6 == 0, F.concat("text", F.lit(" more"))).otherwise(F.col("text")).alias("body"), F.when(i % 2 == 0, "2025").alias("date"), i.alias("seq"))
+    new = docs.where((i % 7 != 0) | (i % 5 == 0)).select(i.cast("string").alias("key"), F.when(i % 6 == 0, F.concat("text", F.lit(" more"))).otherwise(F.col("text")).alias("body"), F.when(i % 2 == 0, "2025").alias("date"), i.alias("seq"))
     return old, new
 
 
@@ -326,10 +329,9 @@ def cleaning_pass(spark: SparkSession, sf: str) -> DataFrame:
     return J.clean_column(articles(spark, sf).select("doc_id", "body"), "body", T.normalize(F.col("body")))
 
 
-@query("SELECT source, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS body FROM documents WHERE length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 400 AND NOT regexp_matches(text, '(?i)follow us on')")
+@query("WITH m AS (SELECT source, text, length(regexp_extract(text, '(?is)^(.*?)Follow us on', 1)) AS n, regexp_matches(text, '(?i)follow us on') AS found FROM documents), c AS (SELECT source, trim(regexp_replace(CASE WHEN found AND n >= 0.8 * length(text) THEN substr(text, 1, n) ELSE text END, '\\s+', ' ', 'g')) AS body FROM m) SELECT source, body FROM c WHERE length(body) > 400")
 def boilerplate_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents").where("NOT text RLIKE '(?i)follow us on'").select("source", F.col("text").alias("body"))
-    return readers.boilerplate_bodies(docs)
+    return readers.boilerplate_bodies(read(spark, sf, "documents").select("source", F.col("text").alias("body")))
 
 
 # Reports
@@ -392,10 +394,10 @@ def page_cache(spark: SparkSession, sf: str) -> DataFrame:
     return I.update_cache(rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1"), F.col("now"), "user_id", n=100).select("user_id", "event_id")
 
 
-@query("WITH m AS (SELECT max(event_id) FILTER (WHERE event_id % 3 = 0) + 1 AS o FROM events), b AS (SELECT user_id AS key, CASE WHEN event_id % 3 = 0 THEN event_id ELSE event_id + o END AS seq FROM events, m WHERE event_id % 3 = 0 OR event_id % 3 = 1), f AS (SELECT key, min(seq) AS seq FROM b GROUP BY key) SELECT key, seq FROM f ORDER BY seq DESC, key LIMIT 60")
+@query("WITH m AS (SELECT max(event_id) FILTER (WHERE event_id % 3 = 0) + 1 AS o FROM events), b AS (SELECT user_id AS key, CASE WHEN event_id % 3 = 0 THEN event_id ELSE event_id + o END AS seq FROM events, m), f AS (SELECT key, min(seq) AS seq FROM b GROUP BY key) SELECT key, seq FROM f ORDER BY seq DESC, key LIMIT 60")
 def seen_keys(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"))
-    return I.update_seen(events.where("seq % 3 = 0"), events.where("seq % 3 = 1"), 60)
+    return I.update_seen(events.where("seq % 3 = 0"), events.where("seq % 3 <> 0"), 60)
 
 
 @query("WITH a AS (SELECT user_id AS source_name, event_id AS attempt, event_type IN ('view', 'click') AND user_id % 3 = 0 AS is_feed, event_id % 4 <> 0 AS ok FROM events), f AS (SELECT source_name, attempt FROM a WHERE ok AND is_feed), b AS (SELECT source_name, min(attempt) AS attempt FROM a WHERE ok AND NOT is_feed AND source_name NOT IN (SELECT source_name FROM f) GROUP BY source_name) SELECT * FROM f UNION ALL SELECT * FROM b")
@@ -524,6 +526,23 @@ def two_pass_score(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "score", "level", "priority", "theme", "relevant", F.col("signals.confirmed_activist_pressure").alias("conf_activist"))
 
 
+_WORDS = "list_filter(regexp_split_to_array({0}, '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda w: regexp_full_match(w, '[a-z]{{4,}}'))"
+
+
+@query(
+    f"""WITH {ART}, v AS (SELECT DISTINCT unnest({_WORDS.format('head')}) AS term FROM art), x AS (SELECT DISTINCT doc_id, unnest({_WORDS.format('norm')}) AS term FROM art)
+    SELECT doc_id, left(term, 1) AS list_id, string_agg(term, ', ' ORDER BY term) AS terms FROM x WHERE term IN (SELECT term FROM v) GROUP BY doc_id, left(term, 1)"""
+)
+def vocabulary_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document against a vocabulary that grows with the table: the words of all titles, in a list for each first letter."""
+    docs = articles(spark, sf)
+    words = docs.select(F.explode(F.regexp_extract_all(T.normalize(F.col("title")), F.lit(r"(?U)\w+"), F.lit(0))).alias("term")).where("term RLIKE '^[a-z]{4,}$'").distinct()
+    order = Window.partitionBy("list_id").orderBy("term")  # a first letter's distinct words
+    vocabulary = words.withColumn("list_id", F.left("term", F.lit(1))).withColumn("ord", F.row_number().over(order))
+    found = V.match_vocabulary(docs.select("doc_id", T.normalize(F.col("body")).alias("text")), vocabulary)
+    return found.select("doc_id", "list_id", F.array_join("terms", ", ").alias("terms"))
+
+
 # Pages
 
 _PATH = "lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1))"

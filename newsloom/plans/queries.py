@@ -117,7 +117,7 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def repair_mojibake(spark: SparkSession, sf: str) -> DataFrame:
-    return articles(spark, sf).select("doc_id", T.repair_mojibake(F.col("title")).alias("repaired"))
+    return articles(spark, sf).select("doc_id", T.repair_mojibake(F.col("body")).alias("repaired"))
 
 
 @query(f"WITH {ART} SELECT doc_id, replace(replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM art")
@@ -125,19 +125,13 @@ def escape_title(spark: SparkSession, sf: str) -> DataFrame:
     return articles(spark, sf).select("doc_id", T.escape_html(F.col("title")).alias("escaped"))
 
 
-@query(f"WITH {ART} SELECT doc_id, CASE WHEN trim(regexp_replace(title, '\\s+', ' ', 'g')) = '' THEN '' ELSE 'title: ' || substr(trim(regexp_replace(title, '\\s+', ' ', 'g')), 1, 80) || chr(10) END || 'text: ' || substr(trim(regexp_replace(body, '\\s+', ' ', 'g')), 1, 200) AS prompt FROM art WHERE trim(regexp_replace(body, '\\s+', ' ', 'g')) <> ''")
-def judge_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    df = articles(spark, sf).where(T.collapse(F.col("body")) != "")
-    return df.select("doc_id", T.prompt([("title", F.col("title"), 80), ("text", F.col("body"), 200)]).alias("prompt"))
-
-
 _STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _TITLE_S, _SOURCE_S, _BODY_S = (_STRIP.format(c) for c in ("title", "coalesce(source, '')", "coalesce(body, '')"))
 
 
 @query(f"WITH {ART} SELECT doc_id, 'Titre : ' || coalesce({_TITLE_S}, '') || CASE WHEN {_SOURCE_S} <> '' THEN chr(10) || 'Source : ' || {_SOURCE_S} ELSE '' END || CASE WHEN {_BODY_S} <> '' THEN chr(10) || 'Texte : ' || substr({_BODY_S}, 1, {T.JUDGE_CHARS}) ELSE '' END AS prompt FROM art")
 def judge_prompt_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """The judge's prompt of every article with the reference's bounds, where judge_prompt cuts to short samples."""
+    """The judge's prompt of every article, with the bounds of the prompt only."""
     return articles(spark, sf).select("doc_id", T.judge_prompt(F.col("title"), F.col("source"), F.lit(None), F.col("body")).alias("prompt"))
 
 
@@ -356,31 +350,6 @@ def seen_anti_join(spark: SparkSession, sf: str) -> DataFrame:
     return J.unseen(docs, docs.where("doc_id < 5"), "source", F.col("doc_id") % 10 == 0)
 
 
-_BASE = "SELECT doc_id AS key, CASE WHEN doc_id % 2 = 0 THEN substr(text, 1, 50) ELSE '' END AS body, CASE WHEN doc_id % 3 = 0 THEN '2024-01-01' END AS date FROM documents WHERE doc_id % 4 <> 3"
-_MORE = "SELECT doc_id AS key, substr(text, 1, 40 + doc_id % 30) AS body, '2025-01-01' AS date FROM documents WHERE doc_id % 5 <> 4"
-
-
-@query(
-    f"""WITH a AS ({_BASE}), b AS ({_MORE}) SELECT coalesce(a.key, b.key) AS key,
-    CASE WHEN a.key IS NULL OR length(coalesce(b.body, '')) > length(a.body) THEN b.body ELSE a.body END AS body, coalesce(a.date, b.date) AS date,
-    CASE WHEN a.key IS NULL THEN 'added' WHEN b.key IS NULL THEN 'kept' WHEN length(b.body) > length(a.body) AND a.date IS NULL THEN 'body and date' WHEN length(b.body) > length(a.body) THEN 'body' WHEN a.date IS NULL THEN 'date' ELSE 'kept' END AS change
-    FROM a FULL OUTER JOIN b ON a.key = b.key"""
-)
-def archive_merge_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    docs, i = read(spark, sf, "documents"), F.col("doc_id")
-    base = docs.where(i % 4 != 3).select(i.alias("key"), F.when(i % 2 == 0, F.substring("text", 1, 50)).otherwise("").alias("body"), F.when(i % 3 == 0, F.lit("2024-01-01")).alias("date"))
-    more = docs.where(i % 5 != 4).select(i.alias("key"), F.substring(F.col("text"), F.lit(1), (40 + i % 30).cast("int")).alias("body"), F.lit("2025-01-01").alias("date"))
-    return J.merge_archives(base, more, "key")
-
-
-@query("SELECT doc_id AS key, body FROM (SELECT d.doc_id, CASE WHEN u.n > 20 THEN substr(d.text, 1, CAST(u.n AS INTEGER)) ELSE substr(d.text, 1, 20) END AS body FROM documents d LEFT JOIN (SELECT doc_id, max(least(n, length(text))) AS n FROM (SELECT doc_id, text, 10 + doc_id % 40 AS n FROM documents UNION ALL SELECT doc_id, text, 15 + doc_id % 11 FROM documents) GROUP BY doc_id) u ON d.doc_id = u.doc_id)")
-def backfill_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    docs, i = read(spark, sf, "documents"), F.col("doc_id")
-    archive = docs.select(i.alias("key"), F.substring("text", 1, 20).alias("body"))
-    update = lambda n, s: docs.select(i.alias("key"), F.substring(F.col("text"), F.lit(1), n.cast("int")).alias("body"), F.lit(s).alias("seq"))
-    return J.backfill_bodies(archive, update(10 + i % 40, 1).unionByName(update(15 + i % 11, 2)), "key", "seq")
-
-
 _WHOLE_BASE = "SELECT doc_id AS key, CASE WHEN doc_id % 3 <> 0 THEN text END AS body, CASE WHEN doc_id % 7 <> 0 THEN '2024-01-01' END AS date FROM documents WHERE doc_id % 5 <> 4"
 _WHOLE_MORE = "SELECT doc_id AS key, CASE WHEN doc_id % 4 = 0 THEN text || chr(10) || source ELSE text END AS body, '2025-01-01' AS date FROM documents WHERE doc_id % 5 = 4 OR doc_id % 2 = 0 OR doc_id % 3 = 0"
 
@@ -411,6 +380,11 @@ def backfill_bodies_whole(spark: SparkSession, sf: str) -> DataFrame:
     return J.backfill_bodies(archive, update(F.col("text"), 1).unionByName(update(F.concat("source", F.lit("\n"), "text"), 2)), "key", "seq")
 
 
+for _short in ("archive_merge", "backfill_bodies", "judge_prompt"):  # earlier names of the queries over whole texts
+    _name = _short + ("_enrich" if _short == "archive_merge" else "")
+    _queries[_name], _sql[_name] = _queries[f"{_short}_whole"], _sql[f"{_short}_whole"]
+
+
 @query("SELECT k.user_id AS key, coalesce(x.seen, 'before') AS seen FROM (SELECT DISTINCT user_id FROM events) k LEFT JOIN (SELECT DISTINCT user_id, 'old' AS seen FROM events WHERE user_id % 7 = 0) x ON k.user_id = x.user_id WHERE k.user_id NOT IN (SELECT user_id FROM events WHERE event_id % 50 = 0)")
 def last_seen_state(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events").select(F.col("user_id").alias("key"), "event_id")
