@@ -68,32 +68,45 @@ def contains_any(c: Column, parts: list[str]) -> Column:
     return out
 
 
-def _sums(lengths: Column) -> Column:
+# Spans and gaps are SQL text, which the JVM parses at once: built by calls, each part is a trip from Python, and a relation takes seconds.
+
+
+def _quoted(pattern: str) -> str:
+    escaped = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _once(value: str, name: str, use: str) -> str:
+    """SQL `use`, in which `name` stands for `value`, evaluated once."""
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
+def _sums(lengths: str) -> str:
     """The sum of all lengths up to each, itself included. Appending is quadratic, so runs of _RUN are summed apart."""
+    added = "aggregate({0}, named_struct('at', {1}, 'out', cast(array() as array<bigint>)), (a, n) -> named_struct('at', a.at + n, 'out', array_append(a.out, a.at + n)), a -> a.out)"
+    runs = f"transform(sequence(0, greatest(size(own) - 1, 0), {_RUN}), k -> slice(own, k + 1, {_RUN}))"
+    totals = f"transform({runs}, r -> aggregate(r, 0L, (t, n) -> t + n))"
+    all_runs = f"flatten(transform(both.runs, (r, k) -> {added.format('r', 'coalesce(get(both.ends, k - 1), 0L)')}))"
+    ends = added.format(totals, "0L")
+    return _once(f"cast({lengths} as array<bigint>)", "own", _once(f"named_struct('runs', {runs}, 'ends', {ends})", "both", all_runs))
 
-    def added(values: Column, first: Column) -> Column:
-        start = F.struct(first.cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(values, start, lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["out"], a["at"] + n).alias("out")), lambda a: a["out"])
 
-    def all_runs(own: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(own) - 1, F.lit(0)), F.lit(_RUN)), lambda k: F.slice(own, k + 1, F.lit(_RUN)))
-        totals = F.transform(runs, lambda r: F.aggregate(r, F.lit(0).cast("long"), lambda s, n: s + n))
-        return bound(F.struct(runs.alias("runs"), added(totals, F.lit(0)).alias("ends")), lambda x: F.flatten(F.transform(x["runs"], lambda r, k: added(r, F.coalesce(F.get(x["ends"], k - 1), F.lit(0))))))
+def _spans(text: str, pattern: str) -> str:
+    # Gap, match, gap, match, ...: a match ends where the sum of all lengths up to it ends.
+    sizes = "flatten(zip_with(cut.gaps, cut.found, (g, f) -> array(length(g), coalesce(length(f), 0))))"
+    of = _once(_sums(sizes), "at", "transform(sequence(0, size(cut.found) - 1), i -> named_struct('s', cast(at[2 * i] as int), 'e', cast(at[2 * i + 1] as int)))")
+    cut = f"named_struct('found', regexp_extract_all({text}, {_quoted(pattern)}, 0), 'gaps', split({text}, {_quoted(pattern)}, -1))"
+    return _once(cut, "cut", f"if(size(cut.found) > 0, {of}, cast(array() as array<struct<s:int,e:int>>))")
 
-    return bound(lengths.cast("array<bigint>"), all_runs)
+
+def _of_text(c: Column, sql: str) -> Column:
+    """SQL over `text`, which stands for c."""
+    return F.call_function("transform", F.array(c), F.expr(f"text -> {sql}"))[0]
 
 
 def spans(c: Column, pattern: str) -> Column:
     """Start and end (from 0, end excluded) of each match, in order."""
-    none = F.array().cast("array<struct<s:int,e:int>>")
-
-    def of(x: Column) -> Column:
-        # Gap, match, gap, match, ...: a match ends where the sum of all lengths up to it ends.
-        sizes = F.flatten(F.zip_with(x["gaps"], x["found"], lambda g, f: F.array(F.length(g), F.coalesce(F.length(f), F.lit(0)))))
-        return bound(_sums(sizes), lambda at: F.transform(F.sequence(F.lit(0), F.size(x["found"]) - 1), lambda k: F.struct(at[2 * k].cast("int").alias("s"), at[2 * k + 1].cast("int").alias("e"))))
-
-    both = F.struct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)).alias("found"), F.split(c, pattern, -1).alias("gaps"))
-    return bound(both, lambda x: F.when(F.size(x["found"]) > 0, of(x)).otherwise(none))
+    return _of_text(c, _spans("text", pattern))
 
 
 def least_gap(c: Column, targets: TermSet, actions: TermSet) -> Column:
@@ -102,27 +115,19 @@ def least_gap(c: Column, targets: TermSet, actions: TermSet) -> Column:
     Spans of one kind are in order and do not overlap, so that one pass over both kinds by start sees, for each, the
     nearest of the other kind before it.
     """
-    far = F.lit(-(1 << 40)).cast("long")
-
-    def tagged(pattern: str, kind: int) -> Column:
-        return F.transform(spans(c, pattern), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("k")))
-
-    def step(a: Column, x: Column) -> Column:
-        other = F.when(x["k"] == 0, a["action"]).otherwise(a["target"])
-        gap = F.greatest(F.lit(0).cast("long"), x["s"] - other)
-        end = x["e"].cast("long")
-        return F.struct(F.when(x["k"] == 0, F.greatest(end, a["target"])).otherwise(a["target"]).alias("target"), F.when(x["k"] == 1, F.greatest(end, a["action"])).otherwise(a["action"]).alias("action"), F.least(a["best"], gap).alias("best"))
-
-    start = F.struct(far.alias("target"), far.alias("action"), F.lit(1 << 40).cast("long").alias("best"))
-    best = F.aggregate(F.array_sort(F.concat(tagged(targets.stems, 0), tagged(actions.stems, 1))), start, step, lambda a: a["best"])
-    return F.when(c.rlike(targets.stems) & c.rlike(actions.stems), best)
+    tagged = [f"transform({_spans('text', own.stems)}, z -> named_struct('s', z.s, 'e', z.e, 'k', {k}))" for k, own in enumerate((targets, actions))]
+    end = lambda k, name: f"if(x.k = {k}, greatest(cast(x.e as bigint), g.{name}), g.{name})"
+    step = f"named_struct('target', {end(0, 'target')}, 'action', {end(1, 'action')}, 'best', least(g.best, greatest(0L, x.s - if(x.k = 0, g.action, g.target))))"
+    far = 1 << 40
+    best = f"aggregate(array_sort(concat({tagged[0]}, {tagged[1]})), named_struct('target', {-far}L, 'action', {-far}L, 'best', {far}L), (g, x) -> {step}, g -> g.best)"
+    return _of_text(c, f"if(text rlike {_quoted(targets.stems)} and text rlike {_quoted(actions.stems)}, {best}, null)")
 
 
 def related(c: Column, targets: TermSet, actions: TermSet, window: int = WINDOW) -> Column:
     """Whether some target and some action overlap or stand within `window` characters, in either order."""
     if not any(targets.terms) or not any(actions.terms):
         return F.lit(False)
-    return F.coalesce(bound(c, lambda x: least_gap(x, targets, actions)) <= window, F.lit(False))
+    return F.coalesce(least_gap(c, targets, actions) <= window, F.lit(False))
 
 
 def related_rows(df: DataFrame, key: str, text: str, targets: TermSet, actions: TermSet, window: int = WINDOW) -> DataFrame:
