@@ -11,8 +11,14 @@ def ordered_union(*arrays: Column) -> Column:
     return F.array_distinct(F.concat(*arrays))
 
 
+def quoted(value: str) -> str:
+    """A string literal of SQL."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def literal(values: list[str]) -> Column:
-    return F.array(*map(F.lit, values)).cast("array<string>")
+    return F.expr(f"cast(array({', '.join(map(quoted, values))}) as array<string>)")
 
 
 def present(*pairs: tuple[Column, Column]) -> Column:

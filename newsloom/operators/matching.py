@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import literal
+from ..functions.arrays import literal, quoted
 from .vocabulary import Stem, TermSet, lowered, quote
 
 #: Most characters between two spans that count as related.
@@ -71,11 +71,6 @@ def contains_any(c: Column, parts: list[str]) -> Column:
 # Spans and gaps are SQL text, which the JVM parses at once: built by calls, each part is a trip from Python, and a relation takes seconds.
 
 
-def _quoted(pattern: str) -> str:
-    escaped = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def _once(value: str, name: str, use: str) -> str:
     """SQL `use`, in which `name` stands for `value`, evaluated once."""
     return f"transform(array({value}), {name} -> {use})[0]"
@@ -95,7 +90,7 @@ def _spans(text: str, pattern: str) -> str:
     # Gap, match, gap, match, ...: a match ends where the sum of all lengths up to it ends.
     sizes = "flatten(zip_with(cut.gaps, cut.found, (g, f) -> array(length(g), coalesce(length(f), 0))))"
     of = _once(_sums(sizes), "at", "transform(sequence(0, size(cut.found) - 1), i -> named_struct('s', cast(at[2 * i] as int), 'e', cast(at[2 * i + 1] as int)))")
-    cut = f"named_struct('found', regexp_extract_all({text}, {_quoted(pattern)}, 0), 'gaps', split({text}, {_quoted(pattern)}, -1))"
+    cut = f"named_struct('found', regexp_extract_all({text}, {quoted(pattern)}, 0), 'gaps', split({text}, {quoted(pattern)}, -1))"
     return _once(cut, "cut", f"if(size(cut.found) > 0, {of}, cast(array() as array<struct<s:int,e:int>>))")
 
 
@@ -120,7 +115,7 @@ def least_gap(c: Column, targets: TermSet, actions: TermSet) -> Column:
     step = f"named_struct('target', {end(0, 'target')}, 'action', {end(1, 'action')}, 'best', least(g.best, greatest(0L, x.s - if(x.k = 0, g.action, g.target))))"
     far = 1 << 40
     best = f"aggregate(array_sort(concat({tagged[0]}, {tagged[1]})), named_struct('target', {-far}L, 'action', {-far}L, 'best', {far}L), (g, x) -> {step}, g -> g.best)"
-    return _of_text(c, f"if(text rlike {_quoted(targets.stems)} and text rlike {_quoted(actions.stems)}, {best}, null)")
+    return _of_text(c, f"if(text rlike {quoted(targets.stems)} and text rlike {quoted(actions.stems)}, {best}, null)")
 
 
 def related(c: Column, targets: TermSet, actions: TermSet, window: int = WINDOW) -> Column:

@@ -81,10 +81,7 @@ def zones(df: DataFrame) -> DataFrame:
 
 def _some(*names: str) -> Column:
     """Whether any of the boolean columns holds, or any of the array columns has elements ([name])."""
-    out = F.lit(False)
-    for n in names:
-        out = out | (F.size(n[1:-1]) > 0 if n[0] == "[" else F.col(n))
-    return out
+    return F.expr(" or ".join(["false", *(f"size(`{n[1:-1]}`) > 0" if n[0] == "[" else f"`{n}`" for n in names)]))
 
 
 def signals(df: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -229,7 +226,7 @@ def parts(df: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 
 def _flag(name: str, arrays: set[str]) -> Column:
-    return F.size(name) > 0 if name in arrays else F.coalesce(F.col(name), F.lit(False))
+    return F.expr(f"size(`{name}`) > 0" if name in arrays else f"coalesce(`{name}`, false)")
 
 
 def decide(df: DataFrame) -> DataFrame:
