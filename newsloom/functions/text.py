@@ -119,24 +119,32 @@ def strip_suffix(c: Column, suffix: Column) -> Column:
     return F.when(has, F.trim(F.substring(text(c), F.lit(1), F.length(text(c)) - F.length(suffix)))).otherwise(text(c))
 
 
+# The byline of a listing, a card's date footer, its labels and its repetition, a site's name after a title.
+BYLINE = r"^(.*?)\bBy [A-Z][a-zA-Z'-]+(?: [A-Z][a-zA-Z'-]+){1,3}\b\s+\S"
+CARD_FOOTER = r"\s*\bDate Date\b.*$"
+CARD_LABEL = r"^(?:Press release|Media advisory|Project Update|News Item|Story)\s+"
+CARD_TWICE = r"^(.+?) \1$"
+SITE_NAME = r"\s+-\s+[^-]{2,60}$"
+
+
 def strip_byline(title: Column) -> Column:
     """The part of a listing's title before `By First Last ...`, unless nothing is left."""
-    head = F.trim(F.regexp_extract(text(title), r"^(.*?)\bBy [A-Z][a-zA-Z'-]+(?: [A-Z][a-zA-Z'-]+){1,3}\b\s+\S", 1))
+    head = F.trim(F.regexp_extract(text(title), BYLINE, 1))
     return F.when(head != "", head).otherwise(text(title))
 
 
 def strip_card(title: Column) -> Column:
     """A listing card's title without its label, date footer and repetition, unless nothing is left."""
-    out = F.regexp_replace(text(title), r"\s*\bDate Date\b.*$", "")
-    out = F.trim(F.regexp_replace(out, r"^(?:Press release|Media advisory|Project Update|News Item|Story)\s+", ""))
-    twice = F.regexp_extract(out, r"^(.+?) \1$", 1)
+    out = F.regexp_replace(text(title), CARD_FOOTER, "")
+    out = F.trim(F.regexp_replace(out, CARD_LABEL, ""))
+    twice = F.regexp_extract(out, CARD_TWICE, 1)
     out = F.when(twice != "", twice).otherwise(out)
     return F.when(out != "", out).otherwise(text(title))
 
 
 def strip_site_name(title: Column) -> Column:
     """Without ` - Site` of 2 to 60 characters at the end."""
-    return F.regexp_replace(text(title), r"\s+-\s+[^-]{2,60}$", "")
+    return F.regexp_replace(text(title), SITE_NAME, "")
 
 
 def slugify(title: Column) -> Column:

@@ -145,14 +145,20 @@ def looks_like_article(url: Column, title: Column) -> Column:
     return (text(url) != "") & title_passes(title) & (is_redirect(url) | by_path)
 
 
+# What decorates the end of a section's title, a site's name after it, and the path of a dated article.
+SECTION_MARKS = "[\\s\u203a\u00bb>]+$"
+SECTION_SITE = "\\s*[-\u2013\u2014|]\\s*[^-\u2013\u2014|]{1,40}$"
+DATED_PATH = r"/(?:19|20)\d{2}/\d{1,2}(?:/|$)"
+
+
 def looks_like_section(url: Column, title: Column) -> Column:
     """Whether a short title names the last path segment, or the path goes through an index segment."""
-    own = F.regexp_replace(F.trim(text(title)), "[\\s\u203a\u00bb>]+$", "")
-    bare = F.trim(F.regexp_replace(own, "\\s*[-\u2013\u2014|]\\s*[^-\u2013\u2014|]{1,40}$", ""))
+    own = F.regexp_replace(F.trim(text(title)), SECTION_MARKS, "")
+    bare = F.trim(F.regexp_replace(own, SECTION_SITE, ""))
     s = segments(url)
     last = F.coalesce(F.get(s, F.size(s) - 1), F.lit(""))
     short = lambda c: (c != "") & (F.size(F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")) <= SECTION_WORDS)
     named = (short(own) & (slugify(own) == last)) | (short(bare) & (slugify(bare) == last))
     indexed = F.arrays_overlap(F.transform(s, F.lower), F.array(*map(F.lit, INDEX_SEGMENTS)))
-    dated = path(url).rlike(r"/(?:19|20)\d{2}/\d{1,2}(?:/|$)")
+    dated = path(url).rlike(DATED_PATH)
     return (own != "") & ~dated & (F.size(s) > 0) & (short(own) | short(bare)) & (named | indexed)

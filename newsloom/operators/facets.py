@@ -15,7 +15,7 @@ from .matching import any_pattern, find_terms, find_with_stems, related, stem_ma
 from .scoring import zones
 from .vocabulary import Stem, TermSet, lowered
 
-#: What evidence says where no term was found.
+# What evidence says where no term was found.
 BY_PLACE, BY_PATTERN, UNTYPED = "(déduit de geo={0})", "(motif farsi acteur+répression)", "_non_typé"
 SUBJECT, MENTION, ABSENT = "sujet_principal", "mention_secondaire", "absent"
 NONE = "aucun"
@@ -144,6 +144,7 @@ class Rules:
 
 def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
     """df with pertinent and motif: the first rule in order that fails gives the reason. A missing age passes."""
+    # The wording of the reasons.
     fails: list[Column] = []
     overlap = lambda c, s: F.arrays_overlap(F.col(c), literal(sorted(s)))
     if rules.places is not None:
