@@ -17,12 +17,14 @@ from ..operators import aggregates as A
 from ..operators import archive as J
 from ..operators import evaluation as E
 from ..operators import facets as C
+from ..operators import intervals as N
 from ..operators import matching as P
 from ..operators import scoring as S
 from ..operators import vocabulary_tables as V
 from ..operators.vocabulary import Stem, TermSet
 from ..sources import readers, writers
 from ..streaming import incremental as I
+from ..streaming import stateful as K
 from . import demo
 from .queries import _DOMAIN, _SEGMENTS, _TITLE, ART, COMPARED, _has, _sql, articles, compared, oracle_sql, queries, query, read
 
@@ -577,3 +579,77 @@ def outbound_citations(spark: SparkSession, sf: str) -> DataFrame:
     made = F.array_join(F.transform(links, lambda p: F.concat(F.lit('<p><a href="https://www.site'), F.length(p).cast("string"), F.lit('.org/a">a link</a></p>'))), " ")
     home = F.concat(F.lit('<a href="/home">home page</a>'), made)
     return H.outbound_domains(read(spark, sf, "pages").select("page_id", "url", home.alias("html")), ["site4.org"])
+
+
+# Relations by position
+
+_WORD = r"[\p{L}\p{M}\p{N}_]+"
+_OF = lambda terms: "(" + ", ".join(f"'{t}'" for t in terms.terms) + ")"
+
+
+@query(
+    f"""WITH {ART}, w AS (SELECT doc_id, regexp_extract_all(norm, '{_WORD}') AS ws, regexp_split_to_array(norm, '{_WORD}') AS gs FROM art),
+    u AS (SELECT doc_id, unnest(ws) AS w, unnest(gs[1:len(ws)]) AS g, generate_subscripts(ws, 1) AS i FROM w),
+    p AS (SELECT doc_id, w, sum(length(g) + length(w)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM u),
+    x AS (SELECT doc_id, w IN {_OF(demo.TARGETS)} AS t, e - length(w) AS s, e FROM p WHERE w IN {_OF(demo.TARGETS)} OR w IN {_OF(demo.ACTIONS)}),
+    n AS (SELECT doc_id, t, s, e, max(e) FILTER (WHERE NOT t) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS ended,
+      min(s) FILTER (WHERE NOT t) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS begun FROM x)
+    SELECT doc_id, s::BIGINT AS s, e::BIGINT AS e, least(coalesce(s - ended, 1000000), coalesce(begun - e, 1000000))::BIGINT AS gap FROM n
+    WHERE t AND least(coalesce(s - ended, 1000000), coalesce(begun - e, 1000000)) <= {P.WINDOW}"""
+)
+def proximity_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Each target of each whole text that has an action near, and the gap to the nearest."""
+    texts = articles(spark, sf).select("doc_id", T.normalize(F.col("body")).alias("norm"))
+    return N.nearest(N.span_rows(texts, "doc_id", "norm", demo.TARGETS), N.span_rows(texts, "doc_id", "norm", demo.ACTIONS), "doc_id")
+
+
+# Streams
+
+
+def _events_in_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with the week that they come in."""
+    return read(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", (F.col("event_type") != "error").alias("ok"), F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 8).cast("int").alias("week"))
+
+
+_FRESH = 12 * 3600
+
+
+@query(
+    f"""WITH RECURSIVE r AS (SELECT user_id, event_id, epoch_us(ts) AS t, coalesce(event_type <> 'error', false) AS ok, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k
+      FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL),
+    s AS (SELECT user_id, event_id, k, true AS due, CASE WHEN ok THEN t END AS last FROM r WHERE k = 1 UNION ALL
+      SELECT r.user_id, r.event_id, r.k, s.last IS NULL OR r.t - s.last >= {_FRESH}000000, CASE WHEN s.last IS NULL OR r.t - s.last >= {_FRESH}000000 THEN CASE WHEN r.ok THEN r.t END ELSE s.last END
+      FROM s JOIN r ON r.user_id = s.user_id AND r.k = s.k + 1)
+    SELECT user_id, event_id, due FROM s"""
+)
+def due_sources_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Users as sources and events as wishes to scan; errors are scans that failed."""
+    told = K.in_batches(_events_in_batches(spark, sf), "week", scratch(spark, "due"), lambda s: K.due_sources(s, "user_id", "event_id", "ts", "ok", _FRESH))
+    return told.select(F.col("source").cast("long").alias("user_id"), F.col("id").alias("event_id"), "due")
+
+
+@query(
+    """WITH RECURSIVE r AS (SELECT user_id, event_id, epoch_us(ts) AS t, event_type AS entry, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k
+      FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL),
+    s AS (SELECT user_id, event_id, k, false AS hit, [{'t': t, 'entry': entry}] AS held FROM r WHERE k = 1 UNION ALL
+      SELECT user_id, event_id, k, hit, CASE WHEN hit THEN live ELSE list_sort(list_append(live, {'t': t, 'entry': entry}))[-2:] END FROM (
+        SELECT *, len(list_filter(live, lambda x: x.entry = entry)) > 0 AS hit FROM (
+          SELECT r.user_id, r.event_id, r.k, r.t, r.entry, list_filter(s.held, lambda x: r.t - x.t < 172800000000) AS live FROM s JOIN r ON r.user_id = s.user_id AND r.k = s.k + 1)))
+    SELECT user_id, event_id, hit FROM s"""
+)
+def body_cache_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A cache of two entries for each user, which events look up by their type."""
+    told = K.in_batches(_events_in_batches(spark, sf), "week", scratch(spark, "cache"), lambda s: K.cached_lookups(s, "user_id", "event_type", "event_id", "ts", most=2))
+    return told.select(F.col("source").cast("long").alias("user_id"), F.col("id").alias("event_id"), "hit")
+
+
+@query(
+    """WITH c AS (SELECT click_id, epoch_us(ts) AS ts, datediff('day', DATE '2024-01-01', arrived_at::DATE) // 20 AS batch FROM clicks WHERE ts IS NOT NULL AND arrived_at IS NOT NULL AND click_id IS NOT NULL),
+    b AS (SELECT batch, max(ts) // 1000 AS top FROM c GROUP BY batch), w AS (SELECT batch, 1000 * (max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000) AS mark FROM b)
+    SELECT click_id, min(batch)::INTEGER AS batch FROM c JOIN w USING (batch) WHERE mark IS NULL OR ts > mark GROUP BY click_id"""
+)
+def first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks in the order of their arrival, some late and some twice: each once, unless it comes after the watermark."""
+    clicks = read(spark, sf, "clicks").where("ts IS NOT NULL AND arrived_at IS NOT NULL AND click_id IS NOT NULL")
+    rows = clicks.select("click_id", "ts", F.floor(F.datediff("arrived_at", F.lit("2024-01-01").cast("date")) / 20).cast("int").alias("batch"))
+    return K.in_batches(rows, "batch", scratch(spark, "seen"), lambda s: I.first_seen(s.withColumn("ts", F.col("ts").cast("timestamp")), "click_id", "ts", "10 minutes")).select("click_id", "batch")
