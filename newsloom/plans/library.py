@@ -22,7 +22,7 @@ from ..operators import matching as P
 from ..operators import scoring as S
 from ..operators import vocabulary_tables as V
 from ..operators.vocabulary import Stem, TermSet
-from ..sources import readers, writers
+from ..sources import readers, snapshots, writers
 from ..streaming import incremental as I
 from ..streaming import stateful as K
 from . import demo
@@ -653,3 +653,22 @@ def first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     clicks = read(spark, sf, "clicks").where("ts IS NOT NULL AND arrived_at IS NOT NULL AND click_id IS NOT NULL")
     rows = clicks.select("click_id", "ts", F.floor(F.datediff("arrived_at", F.lit("2024-01-01").cast("date")) / 20).cast("int").alias("batch"))
     return K.in_batches(rows, "batch", scratch(spark, "seen"), lambda s: I.first_seen(s.withColumn("ts", F.col("ts").cast("timestamp")), "click_id", "ts", "10 minutes")).select("click_id", "batch")
+
+
+_WEEK = "datediff('day', DATE '2024-01-01', ts::DATE) // 8"
+
+
+@query(
+    f"""WITH e AS (SELECT user_id || '/' || (event_id % 40) AS key, event_type AS title, event_id % 50 AS n, CASE WHEN event_id % 3 = 0 THEN 'd' || event_id END AS date, event_id AS seq, {_WEEK} AS week FROM events)
+    SELECT key, arg_min(title, week * 1000000000 + seq) AS title, max(n)::INTEGER AS n_chars, arg_min(date, week * 1000000000 + seq) FILTER (WHERE date IS NOT NULL) AS date, 'week ' || max(week) AS seen FROM e GROUP BY key"""
+)
+def archive_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as the scans of four weeks, each committed with the state of what was seen last; read as the last version has them."""
+    i, path = F.col("event_id"), scratch(spark, "snapshots")
+    rows = read(spark, sf, "events").select(
+        F.concat_ws("/", "user_id", i % 40).alias("key"), F.col("event_type").alias("title"), F.repeat(F.lit("x"), (i % 50).cast("int")).alias("body"), F.when(i % 3 == 0, F.concat(F.lit("d"), i)).alias("date"), i.alias("seq"),
+        F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 8).cast("int").alias("week"),
+    )
+    for week in range(4):
+        snapshots.commit_scan(rows.where(F.col("week") == week).drop("week"), path, f"week {week}", buckets=16)
+    return snapshots.archive_seen(spark, path).select("key", "title", F.length("body").alias("n_chars"), "date", "seen")
