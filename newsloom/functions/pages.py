@@ -133,6 +133,14 @@ def _parse_batch(s: pd.Series) -> pd.DataFrame:
 _parse_udf = arrow_udf(_parse_batch, _PARSED)
 
 
+def _links_batch(s: pd.Series) -> pd.Series:
+    return pd.Series([[{"href": h, "title": t} for h, t in _Page(source or "").links] for source in s], dtype=object)
+
+
+#: The links alone: bodies, dates and headings are neither put together nor sent.
+_links_udf = arrow_udf(_links_batch, "array<struct<href: string, title: string>>")
+
+
 def parse_pages(df: DataFrame, html: str = "html", out: str = "page") -> DataFrame:
     """df with a struct of each page's links, dates in order of precedence, headings and container text."""
     return df.withColumn(out, _parse_udf(text(F.col(html))))
@@ -140,7 +148,7 @@ def parse_pages(df: DataFrame, html: str = "html", out: str = "page") -> DataFra
 
 def page_links(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """key, link, title and the columns `keep`: each page's http links with a title, once by normal form, the first of each."""
-    links = parse_pages(df, html).select(key, *keep, F.col(url).alias("_base"), F.posexplode("page.links").alias("_k", "_l"))
+    links = df.select(key, *keep, F.col(url).alias("_base"), F.posexplode(_links_udf(text(F.col(html)))).alias("_k", "_l"))
     links = links.select(key, *keep, "_k", normalize_url(F.col("_l.href"), F.col("_base")).alias("link"), clean_text(F.col("_l.title")).alias("title"))
     first = F.min(F.struct("_k", "title"))
     return links.where(F.col("link").rlike("^https?://") & (F.col("title") != "")).groupBy(key, *keep, "link").agg(first.alias("f")).select(key, *keep, "link", "f.title")
