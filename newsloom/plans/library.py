@@ -25,6 +25,7 @@ from ..operators import vocabulary_tables as V
 from ..operators.vocabulary import Stem, TermSet
 from ..sources import page_cache as G
 from ..sources import readers, snapshots, writers
+from ..sources import requests as Q
 from ..streaming import incremental as I
 from ..streaming import stateful as K
 from . import demo
@@ -690,3 +691,38 @@ def page_cache(spark: SparkSession, sf: str) -> DataFrame:
     now = again.agg(F.max("at")).first()[0]  # one number
     found = G.fresh(spark, path, datetime.fromtimestamp(now or start, timezone.utc), 90_000)
     return found.select("url", (F.unix_seconds("fetched_at") - start).alias("fetched"), "content")
+
+
+@query(
+    f"""WITH s AS ({_sql["full_score"]}), r AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+    e AS (SELECT *, CASE doc_id % 11 WHEN 3 THEN 'not a JSON object (type=array)' WHEN 5 THEN 'title missing or empty' WHEN 7 THEN 'not JSON' WHEN 9 THEN 'empty line' ELSE CASE WHEN coalesce(title, '') = '' THEN 'title missing or empty' END END AS error FROM r)
+    SELECT i AS index, error, CASE WHEN error IS NULL OR error LIKE 'title%' THEN 'u' || e.doc_id END AS url, CASE WHEN error IS NULL THEN title END AS title, CASE WHEN error IS NULL THEN s.score END AS score, CASE WHEN error IS NULL THEN s.level END AS level,
+      CASE WHEN error IS NULL THEN s.theme END AS theme, CASE WHEN error IS NULL THEN s.reasons END AS reasons, i // 200 AS batch FROM e JOIN s USING (doc_id)"""
+)
+def scored_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as a line of a request; some lines are arrays, torn or empty, or lack the title. Results and errors as they were written."""
+    i, path = F.col("doc_id") % 11, scratch(spark, "requests")
+    docs = articles(spark, sf).select("doc_id", "title", "body", "source", "language", F.concat(F.lit("u"), "doc_id").alias("url"))
+    fields = ["body", "source", "language", "url"]
+    line = F.when(i == 3, F.to_json(F.array("title"))).when(i == 5, F.to_json(F.struct(*fields))).when(i == 7, F.lit('{"title": "torn')).when(i == 9, "").otherwise(F.to_json(F.struct("title", *fields)))
+    docs.select("doc_id", line.alias("value")).repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(f"{path}/in")
+    found = Q.outcomes(Q.request_lines(spark, f"{path}/in", f"{path}/staged"), demo.LEXICON)
+    Q.write_outcomes(found, f"{path}/out")
+    kept = spark.read.schema(f"{found.schema.toDDL()}, failed boolean").parquet(f"{path}/out")
+    return kept.select("index", "error", "url", "title", "score", "level", "theme", F.array_join("reasons", "; ").alias("reasons"), F.floor(F.col("index") / Q.BATCH).alias("batch"))
+
+
+@query(
+    """WITH e AS (SELECT CASE WHEN event_id % 13 <> 0 THEN concat_ws('/', user_id, event_id % 40) END AS key, event_id % 50 > 0 AS body, event_id % 3 = 0 AS date, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 8) AS INT) AS week FROM events)
+    SELECT week + 1 AS version, count(*) AS rows, count(key) AS keyed, count(*) FILTER (WHERE key IS NOT NULL AND body) AS with_body, count(*) FILTER (WHERE key IS NOT NULL AND date) AS with_date FROM e WHERE week BETWEEN 0 AND 3 GROUP BY week"""
+)
+def run_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as the scans of four weeks, some without a key, under a guard against collapse; the counters that each version keeps."""
+    i, path = F.col("event_id"), scratch(spark, "counters")
+    rows = read(spark, sf, "events").select(
+        F.when(i % 13 != 0, F.concat_ws("/", "user_id", i % 40)).alias("key"), F.col("event_type").alias("title"), F.repeat(F.lit("x"), (i % 50).cast("int")).alias("body"), F.when(i % 3 == 0, F.concat(F.lit("d"), i)).alias("date"), i.alias("seq"),
+        F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 8).cast("int").alias("week"),
+    )
+    kept = [snapshots.commit_scan(rows.where(F.col("week") == week).drop("week"), path, f"week {week}", buckets=16, ratio=0.5) for week in range(4)]
+    names = ("rows", "keyed", "with_body", "with_date")
+    return spark.createDataFrame([(v.n, *(v.facts["counters"][n] for n in names)) for v in kept], "version int, " + ", ".join(f"{n} long" for n in names))  # a row for each version

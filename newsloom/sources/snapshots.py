@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import guard_size
 from ..operators.archive import keep_first, last_seen, seen_at
 from ..streaming.incremental import BUCKETS, enrich
 from .writers import _fs
@@ -114,12 +115,28 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
     return n
 
 
-def commit_scan(scanned: DataFrame, path: str, scan: str, key: str = "key", seq: str = "seq", run: str | None = None, epoch: int = 0, buckets: int = BUCKETS) -> Version:
+def count_scan(scanned: DataFrame, key: str, buckets: int) -> tuple[list[int], dict[str, int]]:
+    """The buckets of a scan's keys, and its counters; a scan may lack the columns body and date."""
+    some = lambda c: F.count_if(F.coalesce(F.col(c).cast("string"), F.lit("")) != "") if c in scanned.columns else F.lit(0)
+    keyed = F.coalesce(F.col(key).cast("string"), F.lit("")) != ""
+    sums = {"rows": F.count(F.lit(1)), "with_body": some("body"), "with_date": some("date")}
+    found = scanned.groupBy(F.when(keyed, bucket_of(key, buckets)).alias("b")).agg(*(c.alias(n) for n, c in sums.items())).collect()  # `buckets` rows at most, and one without
+    own = [r for r in found if r["b"] is not None]
+    counters = {"rows": sum(r["rows"] for r in found), "keyed": sum(r["rows"] for r in own)} | {n: sum(r[n] for r in own) for n in ("with_body", "with_date")} | {"buckets": len(own)}
+    return sorted(r["b"] for r in own), counters
+
+
+def commit_scan(scanned: DataFrame, path: str, scan: str, key: str = "key", seq: str = "seq", run: str | None = None, epoch: int = 0, buckets: int = BUCKETS, ratio: float | None = None) -> Version:
     """Merges a scan into the archive and the state of what was seen last, in one commit.
 
     The archive gets the scan's new keys, longer bodies and missing dates; only buckets of scanned keys are read and written. The state
     holds exceptions alone: keys that this scan lacks, stamped once with the scan before; keys that come again leave it. Rows without a
     key go. A scan that names its `run` is merged once for each epoch: one that comes again, as after a crash, changes nothing.
+
+    The facts of the version hold `counters` of the scan: rows, keyed (those with a key), with_body, with_date, and the touched buckets. They
+    come with the aggregation that finds these buckets, before anything is written, so they cost no scan of their own and are exact when
+    tasks run again, which metrics that are observed are not. With a `ratio`, a scan of fewer keyed rows than that share of the scan
+    before, rounded down, raises CorpusCollapse and leaves the archive as it is.
     """
     spark = scanned.sparkSession
     before = version(spark, path)
@@ -127,9 +144,11 @@ def commit_scan(scanned: DataFrame, path: str, scan: str, key: str = "key", seq:
     if run is not None and runs.get(run, -1) >= epoch:
         return before
     buckets = before.facts.get("buckets", buckets)
+    touched, counters = count_scan(scanned, key, buckets)
+    if ratio is not None:
+        guard_size(counters["keyed"], before.facts.get("counters", {}).get("keyed", 0), ratio)
     scanned = scanned.where(F.coalesce(F.col(key), F.lit("")) != "")
     names = [c for c in scanned.columns if c != seq]
-    touched = [r[0] for r in scanned.select(bucket_of(key, buckets)).distinct().collect()]  # `buckets` numbers at most
     own = table(spark, path, "archive", before, touched) if "archive" in before.tables else keep_first(scanned, key, seq).select(*names)
     archive = write_parts(enrich(own, scanned, key, seq), path, "archive", key, before, buckets, touched)
     now = Version(before.n, before.facts, before.tables | {"archive": archive})
@@ -140,7 +159,7 @@ def commit_scan(scanned: DataFrame, path: str, scan: str, key: str = "key", seq:
     else:
         out = known.join(scanned.select(key), key, "left_anti")
     seen = write_parts(out.select(F.col(key).alias("key"), "seen"), path, "seen", "key", before, buckets)
-    facts = {"scan": scan, "buckets": buckets} | ({"runs": runs | {run: epoch}} if run is not None else {})
+    facts = {"scan": scan, "buckets": buckets, "counters": counters} | ({"runs": runs | {run: epoch}} if run is not None else {})
     return commit(spark, path, before, {"archive": archive, "seen": seen}, facts)
 
 
@@ -150,12 +169,12 @@ def archive_seen(spark: SparkSession, path: str, key: str = "key", at: Version |
     return seen_at(table(spark, path, "archive", at), table(spark, path, "seen", at).withColumnRenamed("key", key), F.lit(at.facts["scan"]), key)
 
 
-def run_scans(stream: DataFrame, path: str, checkpoint: str, run: str, scan: str, key: str = "key", seq: str = "seq", buckets: int = BUCKETS):
+def run_scans(stream: DataFrame, path: str, checkpoint: str, run: str, scan: str, key: str = "key", seq: str = "seq", buckets: int = BUCKETS, ratio: float | None = None):
     """A query that commits each micro-batch as a scan named by the batch's greatest value of the column `scan`. Empty batches are no scans."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
         name = batch.agg(F.max(F.col(scan).cast("string"))).first()[0]
         if name is not None:
-            commit_scan(batch.drop(scan), path, name, key, seq, run, epoch, buckets)
+            commit_scan(batch.drop(scan), path, name, key, seq, run, epoch, buckets, ratio)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -2,6 +2,7 @@
 
 import pytest
 
+from newsloom.operators.aggregates import CorpusCollapse
 from newsloom.sources import snapshots as V
 
 SCHEMA = "key string, title string, body string, date string, seq int"
@@ -113,3 +114,17 @@ def test_stream_of_scans(spark, tmp_path):
         rows(spark, k).selectExpr("*", f"'{scan}' AS scan").coalesce(1).write.mode("append").json(source)
         V.run_scans(spark.readStream.schema(schema).json(source), path, str(tmp_path / "cp"), "daily", "scan", buckets=4).awaitTermination()
     assert state(spark, path) == WANT[3] and V.version(spark, path).n == 4
+
+
+def test_counters_and_collapse(spark, tmp_path):
+    """A scan that is too small against the one before leaves no version; counters are those of each scan."""
+    path = f"file://{tmp_path}/v"
+    counters = [V.commit_scan(rows(spark, k), path, s, buckets=4, ratio=0.5).facts["counters"] for k, (s, _) in enumerate(SCANS[:2])]
+    assert [{n: c[n] for n in ("rows", "keyed", "with_body", "with_date")} for c in counters] == [{"rows": 4, "keyed": 3, "with_body": 2, "with_date": 1}, {"rows": 2, "keyed": 2, "with_body": 2, "with_date": 1}]
+    before = state(spark, path)
+    with pytest.raises(CorpusCollapse):
+        V.commit_scan(rows(spark, 2).limit(0), path, "s3", buckets=4, ratio=0.5)
+    assert V.versions(spark, path) == [1, 2] and state(spark, path) == before
+    assert V.commit_scan(rows(spark, 2), path, "s3", buckets=4, ratio=0.5).n == 3  # int(2 * 0.5) = 1 row is enough
+    with pytest.raises(CorpusCollapse):
+        V.commit_scan(rows(spark, 3).where("seq > 99"), path, "s4", buckets=4, ratio=1.0)
