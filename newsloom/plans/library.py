@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import tempfile
 import uuid
 from datetime import datetime, timezone
@@ -23,8 +24,8 @@ from ..operators import matching as P
 from ..operators import scoring as S
 from ..operators import vocabulary_tables as V
 from ..operators.vocabulary import Stem, TermSet
+from ..sources import configs, readers, rescoring, snapshots, writers
 from ..sources import page_cache as G
-from ..sources import readers, snapshots, writers
 from ..sources import requests as Q
 from ..streaming import incremental as I
 from ..streaming import stateful as K
@@ -726,3 +727,28 @@ def run_counters(spark: SparkSession, sf: str) -> DataFrame:
     kept = [snapshots.commit_scan(rows.where(F.col("week") == week).drop("week"), path, f"week {week}", buckets=16, ratio=0.5) for week in range(4)]
     names = ("rows", "keyed", "with_body", "with_date")
     return spark.createDataFrame([(v.n, *(v.facts["counters"][n] for n in names)) for v in kept], "version int, " + ", ".join(f"{n} long" for n in names))  # a row for each version
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS key, score, level, priority, theme, relevant, reasons FROM ({_sql['full_score']})")
+def rescored_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document archived and scored under an older lexicon, then brought up to that of `full_score`: only texts with a term that changed."""
+    path = scratch(spark, "rescored")
+    docs = articles(spark, sf).select(F.col("doc_id").cast("string").alias("key"), "title", "body", "source", "language", F.lit(None).cast("string").alias("date"), F.col("doc_id").alias("seq"))
+    snapshots.commit_scan(docs, path, "all", buckets=16)
+    own = demo.LEXICON
+    before = dataclasses.replace(own, sets=own.sets | {"repression": ("from",), "prisoners": ("at", "los"), "soft_topics": ()}, weights=own.weights | {"rights": {"are": 1}})
+    for lexicon in (before, own):
+        rescoring.rescore(spark, path, lexicon)
+    return rescoring.scores(spark, path).select("key", "score", "level", "priority", "theme", "relevant", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query("SELECT s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'html' ELSE 'rss' END AS type, s_suppkey % 50 AS max_articles, CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 2 END AS n_addresses, 'site' || s_nationkey || '.org' AS domain FROM supplier")
+def source_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as a registry of sources, written as JSON and read, with the addresses and the domain of each."""
+    path, k = scratch(spark, "registry"), F.col("s_suppkey")
+    site = F.concat(F.lit("https://www.site"), "s_nationkey", F.lit(".org/"))
+    read(spark, sf, "supplier").select(
+        F.col("s_name").alias("name"), F.when(k % 3 == 0, "html").otherwise("rss").alias("type"), site.alias("url"), F.when(k % 3 != 0, F.array(F.concat(site, F.lit("feed")))).alias("feeds"), (k % 50).alias("max_articles"), F.lit("x").alias("unknown"),
+    ).write.json(path)
+    found = configs.registry(spark, path)
+    return found.select("name", "type", "max_articles", F.when(F.col("feeds").isNull(), 1).otherwise(1 + F.size("feeds")).alias("n_addresses"), U.domain(F.col("url")).alias("domain"))

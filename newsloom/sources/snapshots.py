@@ -43,17 +43,31 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _fs(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, value: str) -> None:
+    """Writes a small file, in place of one that may be there."""
+    fs, at = _fs(spark, path)
+    stream = fs.create(at, True)
+    try:
+        stream.write(value.encode())
+    finally:
+        stream.close()
+
+
 def version(spark: SparkSession, path: str, n: int | None = None) -> Version:
     """Version n, or the newest."""
     n = max(versions(spark, path), default=0) if n is None else n
     if not n:
         return Version()
-    fs, at = _fs(spark, _manifest(path, n))
-    stream = fs.open(at)
-    try:
-        told = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    told = json.loads(read_text(spark, _manifest(path, n)))
     return Version(n, told["facts"], {name: (ddl, parts) for name, (ddl, parts) in told["tables"].items()})
 
 
@@ -87,13 +101,9 @@ def commit(spark: SparkSession, path: str, before: Version, tables: dict[str, tu
     fs, target = _fs(spark, _manifest(path, new.n))
     if fs.exists(target):
         raise FileExistsError(f"version {new.n} of {path} is there already")
-    written = _fs(spark, f"{_manifest(path, new.n)}.{uuid.uuid4().hex}")[1]
-    stream = fs.create(written, False)
-    try:
-        stream.write(json.dumps({"facts": new.facts, "tables": new.tables}, ensure_ascii=False).encode())
-    finally:
-        stream.close()
-    if not fs.rename(written, target):
+    written = f"{_manifest(path, new.n)}.{uuid.uuid4().hex}"
+    write_text(spark, written, json.dumps({"facts": new.facts, "tables": new.tables}, ensure_ascii=False))
+    if not fs.rename(_fs(spark, written)[1], target):
         raise OSError(f"version {new.n} of {path} could not be put in its place")
     return new
 
@@ -116,8 +126,8 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
 
 
 def count_scan(scanned: DataFrame, key: str, buckets: int) -> tuple[list[int], dict[str, int]]:
-    """The buckets of a scan's keys, and its counters; a scan may lack the columns body and date."""
-    some = lambda c: F.count_if(F.coalesce(F.col(c).cast("string"), F.lit("")) != "") if c in scanned.columns else F.lit(0)
+    """The buckets of a scan's keys, and its counters."""
+    some = lambda c: F.count_if(F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
     keyed = F.coalesce(F.col(key).cast("string"), F.lit("")) != ""
     sums = {"rows": F.count(F.lit(1)), "with_body": some("body"), "with_date": some("date")}
     found = scanned.groupBy(F.when(keyed, bucket_of(key, buckets)).alias("b")).agg(*(c.alias(n) for n, c in sums.items())).collect()  # `buckets` rows at most, and one without
