@@ -52,3 +52,13 @@ def test_files(spark, tmp_path):
         (df.write.option("header", True).csv(path) if kind == "csv" else df.write.format(kind).save(path))
         assert sorted(map(tuple, V.read_vocabulary(spark, path, kind).collect())) == [("a", 1, "one two"), ("a", 2, "x")]
     assert V.match_vocabulary(spark.createDataFrame([(1, "x")], "doc_id long, text string"), df.limit(0)).collect() == []
+
+
+def test_single_words_take_one_join_of_a_texts_distinct_words(spark, monkeypatch):
+    """Words of all texts that share an id are found, and a word that a text repeats is looked up once."""
+    monkeypatch.setattr(V, "BROADCAST_TERMS", -1)
+    terms = spark.createDataFrame([("l", 2, "été"), ("l", 1, "ab"), ("l", 3, "ab"), ("m", 1, "#")], "list_id string, ord long, term string")
+    docs = spark.createDataFrame([(1, "ab ab été-ab"), (1, "# cd"), (2, "abc # été"), (None, "ab")], "doc_id long, text string")
+    found = V.match_vocabulary(docs, terms)
+    assert sorted((r.doc_id or 0, r.list_id, r.terms) for r in found.collect()) == [(0, "l", ["ab", "ab"]), (1, "l", ["ab", "été", "ab"]), (1, "m", ["#"]), (2, "l", ["été"]), (2, "m", ["#"])]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
