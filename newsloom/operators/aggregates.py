@@ -113,6 +113,24 @@ def select_rows(df: DataFrame, levels: list[str] | None = None, places: list[str
 _SUFFIX_STEPS = (256, 16, 1)
 
 
+#: Groups whose bounds are broadcast; with more, rows of one group are dealt to so many tasks at least.
+BROADCAST_GROUPS, _GROUP_PARTS = 50_000, 64
+
+
+def _kept(state: DataFrame) -> DataFrame:
+    """A row for each group, computed once: kept in the checkpoint folder, or by the executors of a session without one."""
+    has = state.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    return state.checkpoint() if has else state.localCheckpoint()
+
+
+def _with_groups(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """rows (g, b) with their group's columns. Rows stay where they are, or are dealt by group and body, so that no task gets a whole group."""
+    if state.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(state), "g")
+    parts = state.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_GROUP_PARTS - 1))))
+    return rows.withColumn("_part", F.pmod(F.xxhash64("b"), F.lit(_GROUP_PARTS)).cast("int")).join(parts, ["g", "_part"]).drop("_part")
+
+
 def shared_suffix(df: DataFrame, group: str, body: str, least: int = SUFFIX_LEAST, most: int = SUFFIX_MOST) -> DataFrame:
     """group, suffix: the longest suffix that enough of a group's bodies share, from a word's start on.
 
@@ -124,12 +142,13 @@ def shared_suffix(df: DataFrame, group: str, body: str, least: int = SUFFIX_LEAS
     bounds = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("b")).alias("hi"))
     state = bounds.select("g", F.greatest(F.lit(SUFFIX_ROWS), F.floor(F.col("n") * SUFFIX_SHARE).cast("int")).alias("need"), F.lit(0).alias("lo"), "hi")
     for step in _SUFFIX_STEPS:
+        state = _kept(state)
         lengths = F.filter(F.transform(F.sequence(F.lit(1), F.lit(-(-most // step) if step == _SUFFIX_STEPS[0] else 16)), lambda k: F.col("lo") + k * step), lambda n: n <= F.col("hi"))
-        tried = rows.join(state, "g").select("g", "need", "b", F.explode(lengths).alias("n"))
-        tried = tried.groupBy("g", "need", "n", F.md5(F.right("b", F.col("n"))).alias("s")).agg(F.count(F.lit(1)).alias("c"))
+        tried = _with_groups(rows, state).select("g", "need", F.explode(F.transform(lengths, lambda n: F.struct(n.alias("n"), F.md5(F.right("b", n)).alias("s")))).alias("x"))
+        tried = tried.groupBy("g", "need", "x.n", "x.s").agg(F.count(F.lit(1)).alias("c"))
         longest = tried.where(F.col("c") >= F.col("need")).groupBy("g").agg(F.max("n").alias("found"))
         state = state.join(longest, "g", "left").select("g", "need", F.coalesce("found", "lo").alias("lo"), "hi")
-    found = rows.join(state.where(F.col("lo") >= least), "g").groupBy("g", F.right("b", F.col("lo")).alias("s")).agg(F.count(F.lit(1)).alias("c"))
+    found = _with_groups(rows, _kept(state.where(F.col("lo") >= least))).groupBy("g", F.right("b", F.col("lo")).alias("s")).agg(F.count(F.lit(1)).alias("c"))
     best = found.groupBy("g").agg(F.max(F.struct("c", "s")).alias("x")).select(F.col("g").alias(group), cut_to_word(F.col("x.s")).alias("suffix"))
     return best.where(F.length("suffix") >= least)
 

@@ -167,3 +167,16 @@ def test_evaluation(spark):
     words = lambda w: spark.createDataFrame([(x,) for x in w], "word string")
     assert [tuple(r) for r in E.over_represented(words(["a"] * 4 + ["b"] * 4), words(["b"] * 40)).collect()] == [("a", 4, 20.0)]
     assert [r.bucket for r in E.to_review(c, "k", 1, 2, 0).collect()] == ["only_judge", "only_score"]
+
+
+def test_no_task_gets_all_bodies_of_a_group(spark, monkeypatch):
+    """Bodies stay where they are, or those of one group are dealt to many tasks; suffixes are the same."""
+    tail = " " + "all rights reserved " * 10
+    rows = spark.createDataFrame([("a" if k % 8 else "b", f"{k} " * (k % 40 + 120) + (tail if k % 3 else "")) for k in range(200)], "g string, b string")
+    state = rows.groupBy("g").agg(F.lit(1).alias("need"))
+    assert "Exchange hashpartitioning" not in A._with_groups(rows, A._kept(state))._jdf.queryExecution().executedPlan().toString()
+    few = {r.g: r.suffix for r in A.shared_suffix(rows, "g", "b").collect()}
+    monkeypatch.setattr(A, "BROADCAST_GROUPS", -1)
+    dealt = A._with_groups(rows, A._kept(state))
+    assert {r.g: r.suffix for r in A.shared_suffix(rows, "g", "b").collect()} == few and set(few) == {"a", "b"} and dealt.count() == 200
+    assert dealt.columns == ["g", "b", "need"] and "_part" in dealt._jdf.queryExecution().optimizedPlan().toString()
