@@ -106,3 +106,12 @@ def test_feeds(spark):
 @pytest.mark.parametrize("answer, want", [('ok {"pertinent": false, "raison": "r", "confiance": "Haute"}', (False, "r", "haute", None)), ('{"pertinent": "true"}', (None, None, None, "no boolean")), ("none", (None, None, None, "no object")), ("{bad}", (None, None, None, "no JSON")), (None, (None, None, None, "no object"))])
 def test_verdicts(spark, answer, want):
     assert tuple(one(spark, v=H.parse_verdict(lit(answer)))["v"]) == want
+
+
+def test_batches_to_python_are_bounded(spark):
+    """A worker holds so many rows of a table at a time, however many there are."""
+    from newsloom.shipping import arrow_udf
+
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("s")).coalesce(1)
+    assert rows.select(arrow_udf(lambda s: s.map(lambda x: len(s)), "int")(F.col("s")).alias("n")).agg(F.max("n")).first()[0] <= 1000
+    assert rows.select(arrow_udf(lambda a, b: a + b, "string")(F.col("s"), F.lit("x")).alias("g")).first().g == "0x"
