@@ -202,17 +202,17 @@ def feed_items(df: DataFrame, content: str = "content") -> DataFrame:
     """
     bare = F.regexp_replace(F.regexp_replace(F.trim(text(F.col(content))), r"^<\?xml[^>]*\?>", ""), r"\sxmlns(:\w+)?=\"[^\"]*\"", "")
     well = bare.rlike(r"(?s)^\s*<(rss|feed)\b.*</(rss|feed)>\s*$")
-    mode = {"mode": "PERMISSIVE"}
-    rss, atom = F.from_xml(F.when(well, bare), _RSS, mode), F.from_xml(F.when(well, bare), _ATOM, mode)
-    items = F.transform(rss["channel"]["item"], lambda i: F.struct(i["title"].alias("title"), i["link"].alias("link"), i["description"].alias("summary"), i["pubDate"].alias("date")))
-    entries = F.transform(atom["entry"], lambda i: F.struct(i["title"].alias("title"), F.get(i["link"], F.lit(0))["_href"].alias("link"), i["summary"].alias("summary"), F.coalesce(i["published"], i["updated"]).alias("date")))
-    out = df.withColumn("_item", F.explode(F.coalesce(items, entries)))
-    title, link = clean_text(F.col("_item.title")), normalize_url(F.col("_item.link"))
-    out = out.withColumns({"_title": title, "link": link, "_summary": clean_text(F.col("_item.summary")), "date": parse_date(F.col("_item.date"))})
+    out = df.withColumn("_feed", F.from_xml(F.when(well, bare), f"{_RSS}, {_ATOM}", {"mode": "PERMISSIVE"}))  # one parse for both kinds
+    items = F.transform(F.col("_feed.channel.item"), lambda i: F.struct(i["title"].alias("title"), i["link"].alias("link"), i["description"].alias("summary"), i["pubDate"].alias("date")))
+    entries = F.transform(F.col("_feed.entry"), lambda i: F.struct(i["title"].alias("title"), F.get(i["link"], F.lit(0))["_href"].alias("link"), i["summary"].alias("summary"), F.coalesce(i["published"], i["updated"]).alias("date")))
+    out = out.withColumn("_item", F.explode(F.coalesce(items, entries)))
+    title = clean_text(F.col("_item.title"))
+    # As a row of its own a link is made once; a filter that Spark moves below a projection would make it anew wherever it reads it.
+    out = out.withColumn("link", F.explode(F.array(normalize_url(F.col("_item.link"))))).withColumns({"_title": title, "_summary": clean_text(F.col("_item.summary")), "date": parse_date(F.col("_item.date"))})
     redirect = is_redirect(F.col("link"))
     out = out.withColumn("title", F.when(redirect, strip_site_name(F.col("_title"))).otherwise(F.col("_title")))
     keep = (F.col("title") != "") & (F.col("link") != "") & F.when(redirect, title_passes(F.col("title"))).otherwise(looks_like_article(F.col("link"), F.col("title")))
-    return out.where(keep).withColumn("summary", F.when(redirect, "").otherwise(F.col("_summary"))).drop("_item", "_title", "_summary", content)
+    return out.where(keep).withColumn("summary", F.when(redirect, "").otherwise(F.col("_summary"))).drop("_feed", "_item", "_title", "_summary", content)
 
 
 def diagnose(df: DataFrame, content: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..shipping import arrow_udf
+from .arrays import bound
 from .text import collapse, slugify, text
 
 # Query parameters that only track.
@@ -114,9 +115,12 @@ def same_organisation(a: Column, b: Column) -> Column:
 
 def repeated_prefix(url: Column) -> Column:
     """Whether some prefix of two segments or more stands twice in a row at the start of the path."""
-    s = segments(url)
-    halves = F.when(F.size(s) >= 4, F.sequence(F.lit(2), F.floor(F.size(s) / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.exists(halves, lambda k: F.slice(s, F.lit(1), k) == F.slice(s, k + 1, k))
+
+    def repeats(s: Column) -> Column:
+        halves = F.when(F.size(s) >= 4, F.sequence(F.lit(2), F.floor(F.size(s) / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.exists(halves, lambda k: F.slice(s, F.lit(1), k) == F.slice(s, k + 1, k))
+
+    return bound(segments(url), repeats)
 
 
 def safe_url(url: Column) -> Column:
@@ -129,7 +133,7 @@ def title_passes(title: Column) -> Column:
 
 
 def _any_in(c: Column, parts: list[str]) -> Column:
-    return F.exists(F.array(*map(F.lit, parts)), lambda p: F.contains(c, p))
+    return bound(c, lambda own: F.exists(F.array(*map(F.lit, parts)), lambda p: F.contains(own, p)))
 
 
 def looks_like_article(url: Column, title: Column) -> Column:

@@ -6,12 +6,10 @@ once, as the only element of an array, before a lambda reads them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import literal, quoted
+from ..functions.arrays import bound, literal, quoted
 from .vocabulary import Stem, TermSet, lowered, quote
 
 #: Most characters between two spans that count as related.
@@ -20,11 +18,6 @@ WINDOW = 140
 _RUN = 64
 
 
-def bound(c: Column, use: Callable[[Column], Column]) -> Column:
-    """use(c), with c evaluated once however often `use` reads it, also within lambdas."""
-    return F.transform(F.array(c), use)[0]
-
-
 def phrase_present(c: Column, phrase: str) -> Column:
     return c.rlike(rf"(?U)(?<!\w){quote(lowered(phrase))}(?!\w)")
 

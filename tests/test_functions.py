@@ -103,6 +103,13 @@ def test_feeds(spark):
     assert (d.items, d.looks_like_xml, d.looks_like_html) == (3, True, False)
 
 
+def test_a_feed_is_parsed_once_and_its_links_made_once(spark):
+    """A filter moved below the projection of the links read them by making each anew; two kinds of feed took two parses."""
+    df = spark.createDataFrame([(1, "<rss></rss>")], "i int, content string")
+    plan = H.feed_items(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1 and plan.count("igshid") == 2  # making a link names the parameters twice
+
+
 @pytest.mark.parametrize("answer, want", [('ok {"pertinent": false, "raison": "r", "confiance": "Haute"}', (False, "r", "haute", None)), ('{"pertinent": "true"}', (None, None, None, "no boolean")), ("none", (None, None, None, "no object")), ("{bad}", (None, None, None, "no JSON")), (None, (None, None, None, "no object"))])
 def test_verdicts(spark, answer, want):
     assert tuple(one(spark, v=H.parse_verdict(lit(answer)))["v"]) == want
