@@ -6,6 +6,9 @@ once, as the only element of an array, before a lambda reads them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +25,35 @@ def phrase_present(c: Column, phrase: str) -> Column:
     return c.rlike(rf"(?U)(?<!\w){quote(lowered(phrase))}(?!\w)")
 
 
-def any_term(c: Column, terms: TermSet) -> Column:
-    return c.rlike(terms.whole_words)
+def head_words(c: Column, sets: list[TermSet]) -> Column:
+    """The words of c that terms of the sets begin with, once each: one scan for all sets.
+
+    The functions below take it as `words`, a column that is evaluated once: a set of single words needs no scan of its own then, and one with
+    longer terms only in texts that have the first word of one.
+    """
+    own = TermSet("words", tuple(dict.fromkeys(w for s in sets for w in (*(s.heads or ()), *(s.stem_heads or ())))))
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(own.whole_words), F.lit(0))) if own.terms else literal([])
+
+
+def _single(terms: TermSet) -> bool:
+    return terms.heads is not None and set(terms.heads) == {t for t in terms.terms if t}
 
 
-def find_terms(c: Column, terms: TermSet) -> Column:
+def any_term(c: Column, terms: TermSet, words: Column | None = None) -> Column:
+    if words is None or not terms.heads:
+        return c.rlike(terms.whole_words)
+    near = F.arrays_overlap(words, literal(terms.heads))
+    return near if _single(terms) else near & c.rlike(terms.whole_words)
+
+
+def find_terms(c: Column, terms: TermSet, words: Column | None = None) -> Column:
     """The terms found by a leftmost scan without overlaps, in the set's order; a term within a longer match is not found."""
     if not any(terms.terms):
         return literal([])
-    found, own = F.regexp_extract_all(c, F.lit(terms.whole_words), F.lit(0)), literal(list(terms.terms))
+    if words is not None and terms.heads is not None and not _single(terms):
+        return F.when(F.arrays_overlap(words, literal(terms.heads)), find_terms(c, terms)).otherwise(literal([]))
+    scanned = F.regexp_extract_all(c, F.lit(terms.whole_words), F.lit(0))
+    found, own = words if words is not None and _single(terms) else scanned, literal(list(terms.terms))
     if len(set(terms.terms)) == len(terms.terms):
         return F.array_intersect(own, found)
     return bound(F.array_distinct(found), lambda f: F.filter(own, lambda t: F.array_contains(f, t)))  # keeps repeats
@@ -40,13 +63,13 @@ def any_pattern(c: Column, patterns: list[str]) -> Column:
     return c.rlike("(?isU)" + "|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
 
 
-def find_with_stems(c: Column, language: Column, terms: TermSet, stems: list[Stem]) -> Column:
+def find_with_stems(c: Column, language: Column, terms: TermSet, stems: list[Stem], words: Column | None = None) -> Column:
     """find_terms, then the names of stems that match and are not there yet."""
     if not stems:
-        return find_terms(c, terms)
+        return find_terms(c, terms, words)
     hits = [F.when((F.lit(True) if s.language is None else language == s.language) & c.rlike("(?iU)" + s.pattern), F.lit(s.name)) for s in stems]
     named = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return bound(find_terms(c, terms), lambda found: F.concat(found, F.array_except(named, found)))
+    return bound(find_terms(c, terms, words), lambda found: F.concat(found, F.array_except(named, found)))
 
 
 def stem_match(c: Column, pattern: str) -> Column:
@@ -111,11 +134,22 @@ def least_gap(c: Column, targets: TermSet, actions: TermSet) -> Column:
     return _of_text(c, f"if(text rlike {quoted(targets.stems)} and text rlike {quoted(actions.stems)}, {best}, null)")
 
 
-def related(c: Column, targets: TermSet, actions: TermSet, window: int = WINDOW) -> Column:
+def _near(targets: TermSet, actions: TermSet, window: int) -> str:
+    """A pattern for sets of single words, which cannot overlap but where they are equal: one, at most `window` characters, the other."""
+    t, a = (own.whole_words.removeprefix("(?U)") for own in (targets, actions))
+    both = TermSet("both", tuple(x for x in targets.terms if x in actions.terms))
+    ways = [f"{t}.{{0,{window}}}?{a}", f"{a}.{{0,{window}}}?{t}", *([both.whole_words.removeprefix("(?U)")] if any(both.terms) else [])]
+    return "(?sU)" + "|".join(f"(?:{w})" for w in ways)
+
+
+def related(c: Column, targets: TermSet, actions: TermSet, window: int = WINDOW, words: Column | None = None) -> Column:
     """Whether some target and some action overlap or stand within `window` characters, in either order."""
     if not any(targets.terms) or not any(actions.terms):
         return F.lit(False)
-    return F.coalesce(least_gap(c, targets, actions) <= window, F.lit(False))
+    near = c.rlike(_near(targets, actions, window)) if all(_single(own) and own.stem_heads for own in (targets, actions)) else F.coalesce(least_gap(c, targets, actions) <= window, F.lit(False))
+    heads = [own.stem_heads for own in (targets, actions)] if words is not None else []
+    both = [F.arrays_overlap(words, literal(h)) for h in heads if h is not None]
+    return F.when(reduce(and_, both), near).otherwise(False) if both else near
 
 
 def related_rows(df: DataFrame, key: str, text: str, targets: TermSet, actions: TermSet, window: int = WINDOW) -> DataFrame:

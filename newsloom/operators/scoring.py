@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import capped_add, clamp, literal, ordered_union, present, weighted_sum
 from ..functions.text import normalize, resolve_language, text
-from .matching import any_pattern, any_term, contains_any, find_terms, find_with_stems, related
+from .matching import any_pattern, any_term, contains_any, find_terms, find_with_stems, head_words, related
 from .vocabulary import Stem, TermSet
 
 # Zones in characters.
@@ -52,6 +52,13 @@ BODY_SETS = ("human_rights", "repression", "legal_repression", "specific_rights"
 #: Sets that are looked for in the primary zone as signals, and those that confirm in the body.
 PRIMARY_SETS = {"primary_defender": "defenders", "primary_specific_right": "strong_rights", "primary_press": "press", "primary_gender": "gender", "primary_transnational": "transnational", "primary_political_prisoner": "prisoners", "primary_political_context": "strong_politics", "primary_democracy": "democracy"}
 CONFIRM_SETS = ("hr_repression", "strong_rights", "press", "gender", "transnational", "strong_politics", "prisoners", "hr_actions")
+#: All sets that are looked for in a zone, beside those of the regions in the headline and the body.
+_LOOKED_FOR = {
+    "_headline": HEADLINE_SETS,
+    "_primary": (*PRIMARY_SETS.values(), "events", "hr_repression", "forced_labor", "journalists", "academics", "reform_topics", "other_topics", "soft_topics"),
+    "_body": (*BODY_SETS, *CONFIRM_SETS, "events"),
+    "_full": ("activists", "journalists", "targets", "hr_actions"),
+}
 
 
 @dataclass(frozen=True)
@@ -89,34 +96,37 @@ def signals(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     t, p = lexicon.terms, lexicon.pattern
     head, prim, body, full = F.col("_headline"), F.col("_primary"), F.col("_body"), F.col("_full")
     body_start = F.substring("_body", 1, FULL_BODY)
+    own = {zone: (*names, *(name for name, _ in lexicon.regions if zone in ("_headline", "_body"))) for zone, names in _LOOKED_FOR.items()}
+    df = df.withColumns({f"{zone}_words": head_words(F.col(zone), [t(n) for n in names]) for zone, names in own.items()})
+    in_head, in_prim, in_body, in_full = (F.col(f"{zone}_words") for zone in _LOOKED_FOR)
     source = normalize(F.concat_ws(" ", *(text(F.col(c)) for c in ("source", "source_label", "url") if c in df.columns)))
     declared = F.col("language") if "language" in df.columns else F.lit("")
     df = df.withColumn("language", resolve_language(declared, full))
     ru, fa = F.col("language") == "ru", F.col("language") == "fa"
-    geo = {name: find_with_stems(head, F.col("language"), t(name), list(lexicon.stems.get(name, ()))) for name, _ in lexicon.regions}
-    body_geo = ordered_union(*(find_with_stems(body, F.col("language"), t(name), list(lexicon.stems.get(name, ()))) for name, _ in lexicon.regions))
+    geo = {name: find_with_stems(head, F.col("language"), t(name), list(lexicon.stems.get(name, ())), in_head) for name, _ in lexicon.regions}
+    body_geo = ordered_union(*(find_with_stems(body, F.col("language"), t(name), list(lexicon.stems.get(name, ())), in_body) for name, _ in lexicon.regions))
     df = df.withColumns(geo | {"body_geo": body_geo, "specialised_source": contains_any(source, list(t("source_hints").terms))})
-    df = df.withColumns({name: find_terms(head, t(name)) for name in HEADLINE_SETS} | {f"body_{name}": find_terms(body, t(name)) for name in BODY_SETS})
+    df = df.withColumns({name: find_terms(head, t(name), in_head) for name in HEADLINE_SETS} | {f"body_{name}": find_terms(body, t(name), in_body) for name in BODY_SETS})
     regions = [f"[{name}]" for name, _ in lexicon.regions]
     df = df.withColumn("body_geo_count", F.size("body_geo")).withColumn("has_geography", _some(*regions))
     df = df.withColumn("regional_context", F.col("has_geography") | F.col("specialised_source") | (F.col("body_geo_count") >= 2))
     flags = {f"has_{n}": any_pattern(full, p(n)) for n in ("detention", "imprisonment", "censorship", "government", "restriction")}
-    df = df.withColumns(flags | {"events": find_terms(prim, t("events"))})
+    df = df.withColumns(flags | {"events": find_terms(prim, t("events"), in_prim)})
     morphology = lambda c: ru & any_pattern(c, p("ru_repression"))
-    first = {name: any_term(prim, t(which)) for name, which in PRIMARY_SETS.items()}
+    first = {name: any_term(prim, t(which), in_prim) for name, which in PRIMARY_SETS.items()}
     first |= {
         "primary_event_anchor": F.size("events") > 0,
-        "primary_repression": any_term(prim, t("hr_repression")) | morphology(prim) | any_pattern(prim, p("primary_repression")),
-        "primary_forced_labor": any_term(prim, t("forced_labor")),
+        "primary_repression": any_term(prim, t("hr_repression"), in_prim) | morphology(prim) | any_pattern(prim, p("primary_repression")),
+        "primary_forced_labor": any_term(prim, t("forced_labor"), in_prim),
         "body_morphology": morphology(body_start),
     }
-    first |= {f"confirm_{n}": any_term(body, t(n)) for n in (*CONFIRM_SETS, "events")}
-    first |= {"body_hr_repression": find_terms(body, t("hr_repression")), "body_strong_rights": find_terms(body, t("strong_rights"))}
+    first |= {f"confirm_{n}": any_term(body, t(n), in_body) for n in (*CONFIRM_SETS, "events")}
+    first |= {"body_hr_repression": find_terms(body, t("hr_repression"), in_body), "body_strong_rights": find_terms(body, t("strong_rights"), in_body)}
     df = df.withColumns(first)
     custody = F.col("has_detention") | F.col("has_imprisonment")
     df = df.withColumns({
-        "primary_journalist_pressure": any_term(prim, t("journalists")) & _some("primary_repression", "primary_press", "has_censorship", "has_restriction"),
-        "primary_academic_case": any_term(prim, t("academics")) & (F.col("primary_repression") | custody),
+        "primary_journalist_pressure": any_term(prim, t("journalists"), in_prim) & _some("primary_repression", "primary_press", "has_censorship", "has_restriction"),
+        "primary_academic_case": any_term(prim, t("academics"), in_prim) & (F.col("primary_repression") | custody),
         "primary_defender_case": F.col("primary_defender") & (F.col("primary_repression") | custody),
         "primary_lgbt_pressure": any_pattern(prim, p("lgbt")) & _some("primary_repression", "primary_specific_right", "primary_press"),
         "body_confirmation": _some(*(f"confirm_{n}" for n in CONFIRM_SETS), "body_morphology"),
@@ -124,9 +134,9 @@ def signals(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     df = df.withColumn("primary_hr_anchor", _some("primary_repression", "primary_defender_case", "primary_forced_labor", "primary_specific_right", "primary_press", "primary_gender", "primary_transnational", "primary_political_prisoner", "primary_journalist_pressure", "primary_academic_case", "primary_lgbt_pressure", "primary_event_anchor"))
     gap = lambda who: any_pattern(head, p(who)) | any_pattern(body_start, p(who)) | (ru & (any_pattern(head, p(f"{who}_ru")) | any_pattern(body_start, p(f"{who}_ru")))) | (fa & (any_pattern(head, p(f"{who}_fa")) | any_pattern(body_start, p(f"{who}_fa"))))
     df = df.withColumns({
-        "activist_relation": gap("activist_pressure") | related(full, t("activists"), t("hr_actions")),
-        "journalist_relation": gap("journalist_pressure") | related(full, t("journalists"), t("hr_actions")),
-        "target_relation": related(full, t("targets"), t("hr_actions")),
+        "activist_relation": gap("activist_pressure") | related(full, t("activists"), t("hr_actions"), words=in_full),
+        "journalist_relation": gap("journalist_pressure") | related(full, t("journalists"), t("hr_actions"), words=in_full),
+        "target_relation": related(full, t("targets"), t("hr_actions"), words=in_full),
     })
     df = df.withColumns({
         "has_activist": _some("[activists]", "[body_activists]", "primary_defender"),
@@ -209,7 +219,7 @@ def parts(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     prim = F.col("_primary")
     df = df.withColumn("_sum", at_most(~regional, F.lit(20)))
     unanchored = regional & ~has("primary_event_anchor") & ~has("primary_hr_anchor")
-    df = df.withColumn("unanchored_cap", F.when(unanchored, F.when(_some("target_relation", "body_confirmation"), LEVEL_B - 1).when(any_term(prim, lexicon.terms("reform_topics")), LEVEL_C - 1).when(any_term(prim, lexicon.terms("other_topics")), 28).otherwise(LEVEL_C - 1)))
+    df = df.withColumn("unanchored_cap", F.when(unanchored, F.when(_some("target_relation", "body_confirmation"), LEVEL_B - 1).when(any_term(prim, lexicon.terms("reform_topics"), F.col("_primary_words")), LEVEL_C - 1).when(any_term(prim, lexicon.terms("other_topics"), F.col("_primary_words")), 28).otherwise(LEVEL_C - 1)))
     floor = F.when(has("event"), F.when(has("body_confirmation"), LEVEL_B).otherwise(42))
     df = df.withColumn("_sum", F.greatest(F.least("_sum", F.coalesce("unanchored_cap", F.lit(1000))), F.coalesce(floor, F.lit(-1000))))
     only_politics = regional & has("primary_political_context") & ~_some("primary_repression", "primary_event_anchor", "primary_specific_right", "primary_political_prisoner", "primary_press", "primary_gender", "primary_transnational")
@@ -221,7 +231,7 @@ def parts(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     )
     df = df.withColumn("_sum", at_most(regional, editorial))
     concrete = _some("primary_defender_case", "primary_forced_labor", "primary_journalist_pressure", "primary_press", "primary_academic_case", "primary_lgbt_pressure", "primary_repression", "primary_event_anchor", "primary_gender")
-    df = df.withColumn("soft_topic", regional & ~concrete & any_term(prim, lexicon.terms("soft_topics")))
+    df = df.withColumn("soft_topic", regional & ~concrete & any_term(prim, lexicon.terms("soft_topics"), F.col("_primary_words")))
     return df.withColumn("score", clamp(at_most(has("soft_topic"), F.lit(48))).cast("int")).drop("_sum")
 
 

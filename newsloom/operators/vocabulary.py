@@ -47,6 +47,17 @@ def lowered(term: str) -> str:
     return " ".join(term.lower().split())
 
 
+def _in_words(c: str) -> bool:
+    """Whether Java counts a character to words for certain; the scripts beyond differ by version of Unicode."""
+    return c == "_" or (ord(c) < 0x860 and (c.isalpha() or c.isdecimal()))
+
+
+def head(term: str) -> str | None:
+    """The whole word that a text with the term has where the term begins; None if that is not certain."""
+    n = next((i for i, c in enumerate(term) if not _in_words(c)), len(term))
+    return term[:n] if n and (n == len(term) or term[n].isascii()) else None
+
+
 @dataclass(frozen=True)
 class TermSet:
     """Named terms in order, repeats included."""
@@ -71,6 +82,18 @@ class TermSet:
         own = [quote(t) + (r"(?!\w)" if t[-1].isascii() and t[-1].isalpha() else "") for t in terms]
         return r"(?U)" + _first_letters(terms) + r"(?<!\w)(?:" + "|".join(sorted(own, key=len, reverse=True)) + ")" if own else r"(?!)"
 
+    @property
+    def heads(self) -> list[str] | None:
+        """The first words of all terms, of which a text with a term has one; None if some term is without."""
+        own = [head(t) for t in self.terms if t]
+        return None if None in own else list(dict.fromkeys(own))
+
+    @property
+    def stem_heads(self) -> list[str] | None:
+        """`heads` for `stems`, where a term that may end within a word has none."""
+        bare = any(head(t) == t and not (t[-1].isascii() and t[-1].isalpha()) for t in self.terms if t)
+        return None if bare else self.heads
+
     def containers(self) -> dict[str, list[str]]:
         """For each term, the others of the set that hold it as whole words."""
         return {t: [o for o in self.terms if o != t and re.search(rf"(?<!\w){re.escape(t)}(?!\w)", o)] for t in dict.fromkeys(self.terms)}

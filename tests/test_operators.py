@@ -180,3 +180,30 @@ def test_no_task_gets_all_bodies_of_a_group(spark, monkeypatch):
     dealt = A._with_groups(rows, A._kept(state))
     assert {r.g: r.suffix for r in A.shared_suffix(rows, "g", "b").collect()} == few and set(few) == {"a", "b"} and dealt.count() == 200
     assert dealt.columns == ["g", "b", "need"] and "_part" in dealt._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_scanned_once_give_what_each_scan_gives(spark):
+    """Sets of single words, of longer terms, of terms that no word begins, and of letters of other scripts, by one scan and each by its own."""
+    sets = [TermSet.of("s", t) for t in (["aa", "b", "c_1"], ["aa b", "b", "aa"], ["b-b", "é"], ["-b", "aa"], ["aa 漢", "b"], ["漢"], ["b", "aa", "b"], ["", "aa"], [], ["ée b"], ["b́", "aa"])]
+    rng, parts = random.Random(9), ["aa", "b", "c_1", "é", "ée", "漢", "-", " ", " ", ".", "x", "b́", "c"]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randint(0, 12))),) for _ in range(400)]
+    c, words, out = F.col("t"), F.col("w"), {}
+    for k, own in enumerate(sets):
+        out |= {f"f{k}": (P.find_terms(c, own), P.find_terms(c, own, words)), f"a{k}": (P.any_term(c, own), P.any_term(c, own, words))}
+        other = sets[(k + 1) % len(sets)]
+        gap = F.coalesce(P.least_gap(c, own, other) <= 2, F.lit(False)) if any(own.terms) and any(other.terms) else F.lit(False)
+        out |= {f"r{k}": (gap, P.related(c, own, other, 2, words)), f"q{k}": (gap, P.related(c, own, other, 2))}
+    twice = TermSet.of("t", ["aa", "x"])
+    out["both"] = (F.coalesce(P.least_gap(c, twice, sets[0]) <= 2, F.lit(False)), P.related(c, twice, sets[0], 2, words))
+    df = spark.createDataFrame(rows, "t string").withColumn("w", P.head_words(c, [*sets, twice]))
+    unlike = {n: F.count_if(~a.eqNullSafe(b)).alias(n) for n, (a, b) in out.items()}
+    assert df.agg(*unlike.values()).first().asDict() == dict.fromkeys(out, 0)
+    held = df.agg(*(F.count_if(out[n][1]).alias(n) for n in ("r0", "both", "a0", "a1"))).first()
+    assert all(0 < n < 400 for n in held)
+
+
+def test_a_score_scans_a_zone_once(spark):
+    """Each set of terms had a scan of its own; with sets of single words there is one for each zone."""
+    df = spark.createDataFrame([("a", "b")], "title string, body string")
+    plan = S.signals(S.zones(df), demo.LEXICON)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?U)(?=[") <= 4 < plan.count("_words")
