@@ -79,7 +79,9 @@ class Lexicon:
 
 
 def zones(df: DataFrame) -> DataFrame:
-    """df with _title, _headline, _primary, _body and _full, normalised; missing columns count as empty."""
+    """df with _title, _headline, _primary, _body and _full, normalised; missing columns count as empty. A df that has them stays as it is."""
+    if "_full" in df.columns:
+        return df
     own = lambda name: normalize(F.col(name)) if name in df.columns else F.lit("")
     df = df.withColumns({"_title": own("title"), "_summary": own("summary"), "_body": own("body")})
     df = df.withColumns({"_headline": F.trim(F.concat_ws(" ", "_title", F.substring("_summary", 1, HEADLINE_SUMMARY))), "_primary": F.trim(F.concat_ws(" ", "_title", F.substring("_summary", 1, PRIMARY_SUMMARY)))})

@@ -9,7 +9,7 @@ from ..operators.matching import any_term
 from ..operators.scoring import Lexicon, score, zones
 from ..operators.vocabulary import TermSet, lowered
 from .configs import fingerprint, from_json, to_json
-from .snapshots import Version, bucket_of, commit, read_text, table, version, write_parts, write_text
+from .snapshots import Version, commit, read_text, table, version, write_parts, write_text
 
 #: What is kept of a score.
 SCORE = ("language", "score", "level", "priority", "theme", "relevant", "reasons")
@@ -72,9 +72,12 @@ def rescore(spark: SparkSession, path: str, lexicon: Lexicon, key: str = "key")
             moved |= set(rest)
         elif terms:
             own = table(spark, path, "archive", before, rest)
-            near = zones(own).where(touched(own, terms)).select(*own.columns)
-            hit = sorted(r[0] for r in near.select(bucket_of(key, buckets)).distinct().collect())  # `buckets` numbers at most
-            again = _scores(near, lexicon, key)
+            # As a row of its own the mark is made once, from zones made once: a filter that Spark moves below them would make each anew.
+            near = zones(own).withColumn("_near", F.explode(F.array(touched(own, terms)))).where("_near").drop("_near")
+            # Written before it is known which buckets they are in, so that texts are read and scored once.
+            staged = write_parts(_scores(near, lexicon, key), path, "scores", key, before, buckets, [int(b) for b in before.tables["scores"][1]])
+            hit = sorted(map(int, staged[1]))
+            again = table(spark, path, "scores", Version(before.n, before.facts, {"scores": staged}))
     if not moved and done["rules"] == rules:
         return before
     write_text(spark, f"{path}/rules/{rules}.json", to_json(lexicon))

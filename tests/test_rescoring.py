@@ -118,3 +118,21 @@ def test_registry(spark, tmp_path):
         with pytest.raises(G.ConfigError):
             of(bad)
     assert lines.where(F.size("feeds") == 1).count() == 1
+
+
+def test_texts_are_searched_once_for_changed_terms(spark, tmp_path, monkeypatch):
+    """They were searched to find the buckets, to score them and to leave out their old scores."""
+    path, seen = f"file://{tmp_path}/v", spark.sparkContext.accumulator(0)
+    land(spark, path, 0, 30, "s1")
+    R.rescore(spark, path, OLD)
+
+    @F.udf("boolean")
+    def near(text):
+        seen.add(1)
+        return "zebra" in text
+
+    monkeypatch.setattr(R, "touched", lambda df, terms: near(F.col("_full")))
+    new = replace(OLD, sets=OLD.sets | {"noise": ("que", "zebra")})
+    assert R.rescore(spark, path, new).facts["scored"]["scored_in"]
+    assert seen.value == 30
+    check(spark, path, new)
