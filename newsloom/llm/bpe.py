@@ -25,6 +25,8 @@ from ._common import documents, keep, prepare, task
 #: Distinct words a worker remembers in each of two generations; longer ones are not remembered.
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
 NONE = np.int64(1) << 40
+#: The rank of a pair without a merge, and the most symbols that are merged without a heap.
+_NEVER, SHORT = 1 << 40, 24
 
 # Fixed value: white space as the vocabulary's own pattern means it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -130,6 +132,8 @@ class WordCodec:
         """The merges one by one, lowest rank first and leftmost of equals; n log n."""
         symbols = [*chain[:-1], chain[-1] + (self.end if end is None else end)]
         ids = [self.ids[s] for s in symbols if s in self.ids]
+        if len(ids) <= SHORT:
+            return self._merge_short(ids)
         n, merges = len(ids), self.merges
         after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), [False] * n
         heap = [(found[0], i, ids[i], ids[i + 1], found[1]) for i in range(n - 1) if (found := merges.get((ids[i], ids[i + 1])))]
@@ -148,6 +152,23 @@ class WordCodec:
                 heapq.heappush(heap, (found[0], before[i], ids[before[i]], z, found[1]))
         return [x for x, out in zip(ids, gone) if not out]
 
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """The same for few symbols, where looking over all ranks costs less than a heap; changes ids."""
+        get, none = self.merges.get, (_NEVER, 0)
+        found = [get(pair, none) for pair in zip(ids, ids[1:])]
+        while found:
+            best = min(found)  # equal ranks are equal pairs: the first is the leftmost
+            if best is none:
+                break
+            i = found.index(best)
+            ids[i] = best[1]
+            del ids[i + 1], found[i]
+            if i < len(found):
+                found[i] = get((ids[i], ids[i + 1]), none)
+            if i:
+                found[i - 1] = get((ids[i - 1], ids[i]), none)
+        return ids
+
     def chains(self, word: str) -> Iterator[str | int]:
         """The pieces of a word as byte letters; special tokens as their ids."""
         if word.isascii() and word.isalpha():
@@ -188,17 +209,20 @@ class WordCodec:
         """Of each text: the number of tokens, the ids and the decoded tokens, each joined by one space."""
         split = [(_SPLIT.split(t) if any(c in t for c in _CONTROLS) else t.split()) for t in texts]
         young, found = self._young, {}
-        new = {w for words in split for w in words}.difference(young)
+        new = set().union(*split).difference(young)
         for word in [w for w in new if w in self._old]:
             young[word] = self._old[word]
             new.discard(word)
         for word, value in self.learn(list(new)).items():
             (young if len(word) <= CACHE_CHARS else found)[word] = value
         for words in split:
-            got = [young.get(w) or found[w] for w in words]
-            got = [g for g in got if g[0]]
-            if got:
-                n, ids, tokens = zip(*got)
+            got = list(map(young.get, words))
+            if None in got:
+                got = [g or found[w] for g, w in zip(got, words)]
+            n, ids, tokens = zip(*got) if got else ((), (), ())
+            if 0 in n:  # words of which nothing is left
+                n, ids, tokens = zip(*kept) if (kept := [g for g in got if g[0]]) else ((), (), ())
+            if n:
                 yield sum(n), " ".join(ids), " ".join(tokens)
             else:
                 yield 0, "", ""

@@ -71,3 +71,16 @@ def test_null_empty_repeated(spark, small):
     got = sorted((r.doc_id is None, r.doc_id, r.n_tokens) for r in bpe.code_digests(small([(1, None), (1, ""), (2, "a"), (None, "a"), (2, "a")]), PATH).collect())
     assert got == [(False, 1, 0), (False, 1, 0), (False, 2, 1), (False, 2, 1), (True, None, 1)]
     assert bpe.code_digests(small([]), PATH).count() == 0
+
+
+def test_few_symbols_merge_as_many_do(monkeypatch):
+    """Short chains are merged without a heap; equal pairs in a row show the order."""
+    import random
+
+    import public_tokenizers
+
+    own, rng = bpe.codec(public_tokenizers.path("word_bpe_49k.json")), random.Random(5)
+    chains = ["".join(rng.choice("aabeilnrst") for _ in range(rng.randint(1, 24))) for _ in range(400)] + ["a" * n for n in range(1, 25)]
+    short = [own.merge(c) for c in chains]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert short == [own.merge(c) for c in chains] and any(len(s) > 3 for s in short)
