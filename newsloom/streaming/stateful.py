@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -25,8 +24,16 @@ ENTRY_SECONDS = 172_800
 ENTRIES = 500
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at", "id"], kind="stable", ignore_index=True)
+_DUE = Row("source", "id", "at", "due")
+_HIT = Row("source", "entry", "id", "at", "hit")
+
+# Groups are many and small, so what a group costs decides: rows and no frames, a state of one value that is read and written once,
+# and one timer, which is always that of the state as it is.
+
+
+def _in_order(rows: Iterator[Row], what: str) -> list[tuple]:
+    """Microseconds, id and `what` of each row by time and id, a missing id last."""
+    return sorted(((r.at, r.id, r[what]) for r in rows), key=lambda x: (x[0], x[1] is None, x[1] or 0))
 
 
 class _Freshness(StatefulProcessor):
@@ -50,20 +57,20 @@ class _Freshness(StatefulProcessor):
             self.scanned.update((last,))
             self.handle.registerTimer(_due(last + self.ttl))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.scanned.get()[0] if self.scanned.exists() else None
-        last, due, own = before, [], _in_order(rows)
-        for at, ok in zip(own["at"].tolist(), own["ok"].tolist()):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.scanned.get()
+        before = last = None if held is None else held[0]
+        told = []
+        for at, id, ok in _in_order(rows, "ok"):
             stale = last is None or at - last >= self.ttl
-            due.append(stale)
+            told.append(_DUE(key[0], id, at, stale))
             if stale:
                 last = at if ok else None
         self._keep(before, last)
-        yield own.assign(due=due)[["source", "id", "at", "due"]]
+        return iter(told)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.scanned.exists() and _due(self.scanned.get()[0] + self.ttl) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.scanned.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.scanned.clear()
         return iter([])
 
     def close(self) -> None:
@@ -78,40 +85,43 @@ class _Cache(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.entries = handle.getMapState("entries", "entry string", "at long")
-
-    def _keep(self, before: dict[str, int], held: dict[str, int]) -> None:
-        for entry in before.keys() - held.keys():
-            self.entries.removeKey((entry,))
-        for entry, at in held.items():
-            if before.get(entry) != at:
-                self.entries.updateValue((entry,), (at,))
+        self.entries = handle.getValueState("entries", "entries array<string>, at array<long>")
+
+    def _keep(self, before: dict[str, int], held: dict[str, int], fired: int | None = None) -> None:
+        """Writes what is held; `fired` is the time of the timer that has just gone off, which goes by itself."""
+        if before == held:
+            return
+        if held:
+            self.entries.update((list(held), list(held.values())))
+        else:
+            self.entries.clear()
         old, new = (_due(min(x.values()) + self.ttl) if x else None for x in (before, held))
         if old != new:
-            if old is not None:
+            if old is not None and old != fired:
                 self.handle.deleteTimer(old)
             if new is not None:
                 self.handle.registerTimer(new)
 
     def _held(self) -> dict[str, int]:
-        return {k[0]: v[0] for k, v in self.entries.iterator()}
+        held = self.entries.get()
+        return {} if held is None else dict(zip(held[0], held[1]))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before, hits, own = self._held(), [], _in_order(rows)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before, told = self._held(), []
         held = dict(before)
-        for at, entry in zip(own["at"].tolist(), own["entry"].tolist()):
+        for at, id, entry in _in_order(rows, "entry"):
             hit = entry in held and at - held[entry] < self.ttl
-            hits.append(hit)
+            told.append(_HIT(key[0], entry, id, at, hit))
             if not hit:
                 held[entry] = at
                 if len(held) > self.most:
                     del held[min(held, key=lambda x: (held[x], x))]
         self._keep(before, held)
-        yield own.assign(hit=hits)[["source", "entry", "id", "at", "hit"]]
+        return iter(told)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        before = self._held()
-        self._keep(before, {k: at for k, at in before.items() if _due(at + self.ttl) > expiredTimerInfo.getExpiryTimeInMs()})
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        before, now = self._held(), timerValues.getCurrentWatermarkInMs()
+        self._keep(before, {k: at for k, at in before.items() if _due(at + self.ttl) > now}, expiredTimerInfo.getExpiryTimeInMs())
         return iter([])
 
     def close(self) -> None:
@@ -135,7 +145,7 @@ def due_sources(stream: DataFrame, source: str, id_col: str, time: str, ok: str,
     """
     rows = _timed(stream.where(F.col(source).isNotNull()), time, delay)
     rows = rows.select(F.col(source).cast("string").alias("source"), F.col(id_col).cast("long").alias("id"), F.unix_micros("time").alias("at"), F.coalesce(F.col(ok), F.lit(False)).alias("ok"), "time")
-    return rows.groupBy("source").transformWithStateInPandas(_Freshness(ttl_seconds * 1_000_000), "source string, id long, at long, due boolean", "Append", "EventTime")
+    return rows.groupBy("source").transformWithState(_Freshness(ttl_seconds * 1_000_000), "source string, id long, at long, due boolean", "Append", "EventTime")
 
 
 def cached_lookups(stream: DataFrame, source: str, entry: str, id_col: str, time: str, ttl_seconds: int = ENTRY_SECONDS, most: int = ENTRIES, delay: str = "1 hour") -> DataFrame:
@@ -146,7 +156,7 @@ def cached_lookups(stream: DataFrame, source: str, entry: str, id_col: str, time
     """
     rows = _timed(stream.where(F.col(source).isNotNull() & F.col(entry).isNotNull()), time, delay)
     rows = rows.select(F.col(source).cast("string").alias("source"), F.col(entry).cast("string").alias("entry"), F.col(id_col).cast("long").alias("id"), F.unix_micros("time").alias("at"), "time")
-    return rows.groupBy("source").transformWithStateInPandas(_Cache(ttl_seconds * 1_000_000, most), "source string, entry string, id long, at long, hit boolean", "Append", "EventTime")
+    return rows.groupBy("source").transformWithState(_Cache(ttl_seconds * 1_000_000, most), "source string, entry string, id long, at long, hit boolean", "Append", "EventTime")
 
 
 def stateful_session(spark: SparkSession) -> SparkSession:
