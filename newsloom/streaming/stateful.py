@@ -2,8 +2,8 @@
 
 Time is that of the rows, never the clock's, so that a query gives the same when it runs again over the same batches. Watermarks say when
 state may go: a timer of each group forgets what no row in time can meet. Rows of one group are decided in order of time within a
-batch; of batches, the earlier one decides first, also where its rows are later. A group's rows of one batch (24 bytes and their names) are
-held by one task, so `maxFilesPerTrigger` bounds the memory; its state is one number, or a cache of bounded size.
+batch; of batches, the earlier one decides first, also where its rows are later. A group's rows of one batch (some 400 bytes each) are held
+by one task, so `maxFilesPerTrigger` bounds the memory; its state is one number, or a cache of bounded size.
 """
 
 from __future__ import annotations
@@ -60,14 +60,12 @@ class _Freshness(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.scanned.get()
         before = last = None if held is None else held[0]
-        told = []
         for at, id, ok in _in_order(rows, "ok"):
             stale = last is None or at - last >= self.ttl
-            told.append(_DUE(key[0], id, at, stale))
+            yield _DUE(key[0], id, at, stale)
             if stale:
                 last = at if ok else None
         self._keep(before, last)
-        return iter(told)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.scanned.clear()
@@ -107,17 +105,16 @@ class _Cache(StatefulProcessor):
         return {} if held is None else dict(zip(held[0], held[1]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before, told = self._held(), []
+        before = self._held()
         held = dict(before)
         for at, id, entry in _in_order(rows, "entry"):
             hit = entry in held and at - held[entry] < self.ttl
-            told.append(_HIT(key[0], entry, id, at, hit))
+            yield _HIT(key[0], entry, id, at, hit)
             if not hit:
                 held[entry] = at
                 if len(held) > self.most:
                     del held[min(held, key=lambda x: (held[x], x))]
         self._keep(before, held)
-        return iter(told)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         before, now = self._held(), timerValues.getCurrentWatermarkInMs()
