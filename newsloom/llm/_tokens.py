@@ -1,11 +1,14 @@
-"""Byte-level BPE by the tokenizers library, one library call for each distinct unit of text."""
+"""Byte-level BPE by the tokenizers library, which encodes each distinct unit of text once while a worker remembers it."""
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ._common import keep
 
@@ -13,12 +16,31 @@ from ._common import keep
 CACHE_UNITS = 250_000
 #: Longer units are encoded but not remembered.
 CACHE_CHARS = 64
-#: Texts whose new units go to the library in one call.
-TEXTS = 25
-
+#: UTF-8 bytes of the texts that are split and looked up together, as columns; a longer text stands alone.
+SLICE_BYTES = 8 << 20
+#: New units that go to the library in one call.
+CALL_UNITS = 2000
+
+#: Characters of which every version of Unicode says that they are letters, and marks that are neither letter, digit nor space.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ſЀ-ҁ", ".,;:!?#$%&*"
+_PLAIN = re.compile(rf"\n?[{_LETTERS}]+")
+#: Marks that are parted from a word at once.
+TAIL = 3
 _ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 
 
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Puts small batches together, as a unit is looked up once in each slice."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= SLICE_BYTES // 2:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def encoder(path: str) -> "UnitEncoder":
     """The worker's encoder for a tokenizer file; it outlives a task, but not the operator's turn."""
     return keep(f"units {path}", lambda: UnitEncoder(path))
@@ -30,6 +52,8 @@ class UnitEncoder:
     The vocabulary's split pattern never joins a word to what stands after the next single space or line feed,
     so a text is the chain of its units: a word with the one space before it, or a line feed with the word after it.
     The library encodes each distinct unit; texts with runs of white space or other white space are encoded whole.
+    The pattern parts a letter from a mark, so a unit's last marks are encoded and remembered apart from its word. A word
+    of nothing but letters can't be parted further and goes straight to the library's model.
     """
 
     def __init__(self, path: str):
@@ -45,63 +69,130 @@ class UnitEncoder:
         self._begins[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {"": b""}
+        #: Letters from which marks are parted, and how the model spells those beyond ASCII.
+        self._letters: frozenset[str] = frozenset()
+        self._spelling: dict[int, str] = {}
+        self._learn_letters()
+        self._line = self._library("\n").tobytes()
+
+    def _learn_letters(self) -> None:
+        """Takes letters apart from marks, and spells them, if the tokenizer does so, tried on all letters and marks."""
+        tool = self._tokenizer
+        added = "".join(t.content for t in tool.get_added_tokens_decoder().values() if re.fullmatch(rf"[\n{_LETTERS}{_MARKS}]*", t.content))
+        if added or tool.normalizer is not None or tool.pre_tokenizer is None:
+            return
+        parts = lambda text: [p for p, _ in tool.pre_tokenizer.pre_tokenize_str(text)]
+        letters = "".join(c for c in map(chr, range(0x482)) if re.match(f"[{_LETTERS}]", c))
+        spelling = {ord(c): "".join(parts(c)) for c in letters if not c.isascii()}
+        word = letters.translate(spelling)
+        if all(parts(f"{letters}{m} {letters}{m}{_MARKS}\n{letters}") == [word, m, "\u0120" + word, m + _MARKS, "\u010a", word] for m in _MARKS):
+            self._letters, self._spelling = frozenset(letters), spelling
 
     def _library(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _units(self, units: list[str]) -> list[bytes] | None:
-        """The ids of each unit, by one library call on the chain of them; None if their bounds can't be told."""
+    def _units(self, units: list[str]) -> list[bytes | None]:
+        """The ids of each unit, by one library call on the chain of them; None where its bounds can't be told."""
         ids = self._library("".join([u if u[0] == "\n" else " " + u for u in units]))
         starts = np.flatnonzero(self._begins[ids])
         if len(starts) != len(units):
-            return None
+            half = len(units) // 2
+            return self._units(units[:half]) + self._units(units[half:]) if half else [None]
         raw, bounds = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
         return [raw[b:e] for b, e in zip(bounds, bounds[1:])]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, by the library's model."""
+        tokenize = self._tokenizer.model.tokenize
+        out = []
+        for b in range(0, len(words), CALL_UNITS):
+            some = words[b : b + CALL_UNITS]
+            spelled = ["\u0120" + w if w.isascii() else "\u0120" + w.translate(self._spelling) for w in some]
+            found = [[t.id for t in tokenize(w if w[1] != "\n" else w[2:])] for w in spelled]
+            ends = np.cumsum([4 * len(ids) for ids in found]).tolist()
+            raw = np.array([i for ids in found for i in ids], "<u4").tobytes()
+            out += [raw[x:y] if w[0] != "\n" else self._line + raw[x:y] for w, x, y in zip(some, [0, *ends], ends)]
+        return out
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return self.encode_all([text])[0]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; new units of TEXTS texts at a time go to the library together."""
-        return [ids for b in range(0, len(texts), TEXTS) for ids in self._encode_some(texts[b : b + TEXTS])]
-
-    def _encode_some(self, texts: list[str]) -> list[bytes]:
-        # A line feed before the first word makes it a unit like others; its id is cut off again below.
-        split = [("\n" + t).replace("\n", " \n").split(" ")[1:] for t in texts]
-        get = self._young.get
-        found = [list(map(get, units)) for units in split]
-        gaps = [[k for k, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
-        young, old, long = self._young, self._old, {}
-        wanted = {units[k] for units, own in zip(split, gaps) for k in own}
-        odd = {u for u in wanted if not u or u == "\n"}  # white space in a row; a text's own start also reads so
-        unseen = []
-        for unit in wanted - odd:
+        [(ids, _)] = self.encode_column(pa.array([text]), 0)
+        return ids[:-1].tobytes()
+
+    def encode_column(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each slice of the column the ids of its texts, each with the end id behind it, and their bounds; null counts as empty."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        upto = np.cumsum(pc.binary_length(texts).to_numpy())
+        b = 0
+        while b < len(texts):
+            e = max(b + 1, int(np.searchsorted(upto, (upto[b - 1] if b else 0) + SLICE_BYTES, "right")))
+            yield self._encode_slice(texts[b:e], end_id)
+            b = e
+
+    def _encode_slice(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        # A line feed before the first word makes it a unit like others; the id of that line feed gives its place to an end id below.
+        line, nothing = pa.scalar("\n", texts.type), pa.scalar("", texts.type)
+        split = pc.split_pattern(pc.binary_join_element_wise(line, pc.replace_substring(texts, "\n", " \n"), nothing), " ")
+        coded = split.flatten().dictionary_encode()
+        firsts, which = split.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy()
+        found = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        odd = np.array([ids is None for ids in found], bool)
+        whole = np.flatnonzero(np.add.reduceat(odd[which], firsts[:-1])) if odd.any() else ()
+        for k in whole:  # the library's ids stand in for all units of such a text
+            found.append(b"\0\0\0\0" + self._library(texts[int(k)].as_py()).tobytes())
+        sizes = np.array([len(ids) // 4 if ids else 0 for ids in found], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join([ids or b"" for ids in found]), "<u4")
+        size, start = sizes[which], starts[which]
+        for at, k in enumerate(whole, len(odd)):
+            size[firsts[k] : firsts[k + 1]] = 0
+            size[firsts[k]], start[firsts[k]] = sizes[at], starts[at]
+        ends = np.cumsum(size)
+        places = np.repeat(start - ends + size, size)
+        places += np.arange(len(places))
+        bounds = np.append(0, ends)[firsts]
+        ids = np.append(flat[places], np.uint32(end_id))
+        ids[bounds] = end_id
+        return ids[1:], bounds
+
+    def _look_up(self, units: list[str]) -> list[bytes | None]:
+        """The ids of distinct units; None for those whose texts must be encoded whole."""
+        young, old, letters, tails = self._young, self._old, self._letters, self._tails
+        found = list(map(young.get, units))
+        parted, new = [], {}
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            unit = units[k]
             if (ids := old.get(unit)) is not None:
-                young[unit] = ids
-            else:
-                unseen.append(unit)
-        if unseen:
-            chain = "".join([u if u[0] == "\n" else " " + u for u in unseen])
-            if sum(map(len, chain.split())) != len(chain) - len(unseen):
-                strange = {u for u in unseen if _ODD_SPACE.search(u)}
-                odd |= strange
-                unseen = [u for u in unseen if u not in strange]
-            encoded = self._units(unseen) if unseen else []
-            if encoded is None:
-                odd |= set(unseen)
-            else:
-                for unit, ids in zip(unseen, encoded):
-                    (young if len(unit) <= CACHE_CHARS else long)[unit] = ids
-        out = []
-        for text, units, own, places in zip(texts, split, found, gaps):
-            if odd and not odd.isdisjoint([units[k] for k in places]):
-                out.append(self._library(text).tobytes())
+                found[k] = young[unit] = ids
                 continue
-            for k in places:
-                unit = units[k]
-                own[k] = young[unit] if unit in young else long[unit]
-            out.append(b"".join(own)[4:])
+            if not unit or unit == "\n":  # white space in a row is odd; a text's own start also reads so
+                continue
+            word = unit.rstrip(_MARKS)
+            if len(unit) - len(word) > TAIL or word[-1:] not in letters:
+                word = unit
+            if word not in young:
+                if (ids := old.get(word)) is not None:
+                    young[word] = ids
+                else:
+                    new[word] = None
+            parted.append((k, word, unit[len(word) :]))
+        plain = list(filter(_PLAIN.fullmatch, new)) if letters else []
+        new.update(zip(plain, self._words(plain)))
+        others = [word for word, ids in new.items() if ids is None]
+        for b in range(0, len(others), CALL_UNITS):
+            some = others[b : b + CALL_UNITS]
+            if sum(map(len, "".join(some).split())) != sum(map(len, some)) - sum(w[0] == "\n" for w in some):
+                some = [w for w in some if not _ODD_SPACE.search(w)]
+            new.update(zip(some, self._units(some) if some else ()))
+        for k, word, tail in parted:
+            ids = new[word] if word in new else young[word]
+            if tail and ids is not None:
+                if tail not in tails:
+                    tails[tail] = self._library(tail).tobytes()
+                ids += tails[tail]
+            found[k] = ids
+        young.update((word, ids) for word, ids in new.items() if ids is not None and len(word) <= CACHE_CHARS)
         if len(young) > CACHE_UNITS:
             self._old, self._young = young, {}
-        return out
+        return found

@@ -10,7 +10,6 @@ old and the new packing the one with fewer sequences stays. That goes on until o
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import Staged, documents, prepare, task
-from ._tokens import encoder
+from ._tokens import encoder, grouped
 
 CAPACITY = 1024
 #: Pieces in a partition of any round.
@@ -78,17 +77,18 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    tool, end = encoder(tokenizer), struct.pack("<I", end_id)
-    for batch in batches:
-        rows = []
-        for doc_id, raw in zip(batch.column(0).to_pylist(), tool.encode_all([t or "" for t in batch.column(1).to_pylist()])):
-            raw += end
-            n = len(raw) // 4
-            first = n % capacity or capacity
-            for piece, e in enumerate(range(first, n + 1, capacity)):
-                b = max(0, e - capacity) if piece else 0
-                rows.append((doc_id, piece, b, e - b, zlib.crc32(raw[4 * b : 4 * e])))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+    tool = encoder(tokenizer)
+    for batch in grouped(batches):
+        rows, doc_ids = [], iter(batch.column(0).to_pylist())
+        for ids, bounds in tool.encode_column(batch.column(1), end_id):
+            for at, end, doc_id in zip(bounds[:-1].tolist(), bounds[1:].tolist(), doc_ids):
+                n = end - at
+                first = n % capacity or capacity
+                for piece, e in enumerate(range(first, n + 1, capacity)):
+                    b = max(0, e - capacity) if piece else 0
+                    rows.append((doc_id, piece, b, e - b, zlib.crc32(ids[at + b : at + e])))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def _pack_part(table: pa.Table, step: int, capacity: int) -> pa.Table:

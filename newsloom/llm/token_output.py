@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import Staged, documents, new_path, parts_for, prepare, task, with_unique
-from ._tokens import encoder
+from ._tokens import encoder, grouped
 
 MAGIC, VERSION = b"NLPF", 1
 BLOCK = 1024
 PERCENTILE = 90
+#: Ids that are packed together, a multiple of BLOCK.
+RUN = 1 << 18
 FILE_INPUT_BYTES = 8 << 20
 END_ID = 2
 #: Files whose sums one task adds up.
@@ -128,7 +130,7 @@ def unpack_blocks(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _write_pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    tool, end = encoder(tokenizer), struct.pack("<I", end_id)
+    tool = encoder(tokenizer)
     ids, starts, nulls, firsts = [], [], [], []
     waiting, held, total, at = [], 0, 0, 0
 
@@ -139,34 +141,34 @@ def _write_pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int
 
     def flush(last: bool) -> Iterator[pa.RecordBatch]:
         nonlocal waiting, held
-        raw = b"".join(waiting)
-        upto = len(raw) if last else len(raw) // (4 * BLOCK) * 4 * BLOCK
-        blocks = pack_blocks(np.frombuffer(raw[:upto], "<u4"))
-        waiting, held = [raw[upto:]], len(raw) - upto
-        place = at
-        for b in blocks:
-            starts.append(place)
-            place += len(b)
-        if blocks:
+        tokens = np.concatenate(waiting)
+        upto = len(tokens) if last else len(tokens) // BLOCK * BLOCK
+        for b in range(0, upto, RUN):
+            blocks = pack_blocks(tokens[b : min(b + RUN, upto)])
+            place = at
+            for block in blocks:
+                starts.append(place)
+                place += len(block)
             yield row(b"".join(blocks))
-
-    for batch in batches:
-        for doc_id, got in zip(batch.column(0).to_pylist(), tool.encode_all([t or "" for t in batch.column(1).to_pylist()])):
-            if not at:
-                yield row(MAGIC + struct.pack("<HHQ", VERSION, BLOCK, TaskContext.get().partitionId()))
-            got += end
-            ids.append(doc_id or 0)
-            nulls.append(doc_id is None)
-            firsts.append(total)
-            total += len(got) // 4
+        waiting, held = [tokens[upto:]], len(tokens) - upto
+
+    for batch in grouped(batches):
+        if not at and len(batch):
+            yield row(MAGIC + struct.pack("<HHQ", VERSION, BLOCK, TaskContext.get().partitionId()))
+        ids.append(batch.column(0).fill_null(0).to_numpy())
+        nulls.append(batch.column(0).is_null().to_numpy(zero_copy_only=False))
+        for got, bounds in tool.encode_column(batch.column(1), end_id):
+            firsts.append(total + bounds[:-1])
+            total += len(got)
             waiting.append(got)
             held += len(got)
-            if held >= 1 << 20:
+            if held >= RUN:
                 yield from flush(False)
     if at:
         yield from flush(True)
+        ids, nulls, firsts = map(np.concatenate, (ids, nulls, firsts))
         index = at
-        yield row(np.array(starts, "<u8").tobytes() + np.array(ids, "<i8").tobytes() + np.array(nulls, "u1").tobytes() + np.array(firsts, "<u8").tobytes() + struct.pack("<Q", total))
+        yield row(np.array(starts, "<u8").tobytes() + ids.astype("<i8").tobytes() + nulls.astype("u1").tobytes() + firsts.astype("<u8").tobytes() + struct.pack("<Q", total))
         yield row(struct.pack("<QQQ", index, len(starts), len(ids)) + MAGIC)
 
 
