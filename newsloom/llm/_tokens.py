@@ -17,7 +17,9 @@ CACHE_UNITS = 250_000
 #: Longer units are encoded but not remembered.
 CACHE_CHARS = 64
 #: UTF-8 bytes of the texts that are split and looked up together, as columns; a longer text stands alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Units of a slice that are looked up, or whose ids are put in their places, at a time.
+STEP_UNITS = 1 << 15
 #: New units that go to the library in one call.
 CALL_UNITS = 2000
 
@@ -134,9 +136,14 @@ class UnitEncoder:
         # A line feed before the first word makes it a unit like others; the id of that line feed gives its place to an end id below.
         line, nothing = pa.scalar("\n", texts.type), pa.scalar("", texts.type)
         split = pc.split_pattern(pc.binary_join_element_wise(line, pc.replace_substring(texts, "\n", " \n"), nothing), " ")
-        coded = split.flatten().dictionary_encode()
-        firsts, which = split.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy()
-        found = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        coded, firsts = split.flatten().dictionary_encode(), split.offsets.to_numpy().astype(np.int64)
+        del split
+        which, units = coded.indices.to_numpy(), coded.dictionary
+        del coded
+        found = []
+        for b in range(0, len(units), STEP_UNITS):
+            found += self._look_up(units[b : b + STEP_UNITS].to_numpy(zero_copy_only=False).tolist())
+        del units
         odd = np.array([ids is None for ids in found], bool)
         whole = np.flatnonzero(np.add.reduceat(odd[which], firsts[:-1])) if odd.any() else ()
         for k in whole:  # the library's ids stand in for all units of such a text
@@ -144,15 +151,20 @@ class UnitEncoder:
         sizes = np.array([len(ids) // 4 if ids else 0 for ids in found], np.int64)
         starts = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join([ids or b"" for ids in found]), "<u4")
+        del found
         size, start = sizes[which], starts[which]
         for at, k in enumerate(whole, len(odd)):
             size[firsts[k] : firsts[k + 1]] = 0
             size[firsts[k]], start[firsts[k]] = sizes[at], starts[at]
-        ends = np.cumsum(size)
-        places = np.repeat(start - ends + size, size)
-        places += np.arange(len(places))
-        bounds = np.append(0, ends)[firsts]
-        ids = np.append(flat[places], np.uint32(end_id))
+        ends = np.append(0, np.cumsum(size))
+        start -= ends[:-1]
+        ids = np.empty(ends[-1] + 1, "<u4")
+        for b in range(0, len(which), STEP_UNITS):
+            e = min(b + STEP_UNITS, len(which))
+            places = np.repeat(start[b:e], size[b:e])
+            places += np.arange(ends[b], ends[e])
+            ids[ends[b] : ends[e]] = flat[places]
+        bounds = ends[firsts]
         ids[bounds] = end_id
         return ids[1:], bounds
 
@@ -192,7 +204,7 @@ class UnitEncoder:
                     tails[tail] = self._library(tail).tobytes()
                 ids += tails[tail]
             found[k] = ids
-        young.update((word, ids) for word, ids in new.items() if ids is not None and len(word) <= CACHE_CHARS)
-        if len(young) > CACHE_UNITS:
+        if len(young) + len(new) > CACHE_UNITS:
             self._old, self._young = young, {}
+        self._young.update((word, ids) for word, ids in new.items() if ids is not None and len(word) <= CACHE_CHARS)
         return found
